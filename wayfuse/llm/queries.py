@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, quality_classifier, simhash_dedup
+from . import bpe, class_lm, exact_dedup, html_text, line_dedup, mixing, passage_dedup, quality_classifier, simhash_dedup, weak_rules
 from .common import in_fold
 
 #: Folder of the public tokenizers' files.
@@ -22,6 +22,11 @@ def vocabulary() -> str:
     return f"{TOKENIZERS}/byte_bpe_50k.json"
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.exact_groups(table(spark, sf_dir, "documents"), digest_all=True)
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -40,6 +45,10 @@ SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, rn = 1 AS kept
 """
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.per_document(line_dedup.dedup_lines(table(spark, sf_dir, "documents")))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, vocabulary()).drop("text")
@@ -52,6 +61,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passage_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed, takes = mixing.mix(table(spark, sf_dir, "documents"))
     return mixing.taken_words(placed, takes).select("doc_id", "size", "source_size", "target", "taken")
@@ -70,16 +84,33 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = weak_rules.judge(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "quality", "kept")
+
+
+def op9_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model, words = class_lm.train(docs.where(~in_fold(10)))
+    scored = class_lm.score(docs, model, words)
+    return scored.select("doc_id", in_fold(10).alias("held_out"), "n_tokens", "n_known", F.lit(model.size).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash_dedup.near_groups(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 QUERIES = {
+    "op1_html_text": op1_html_text,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_line_dedup": op3_line_dedup,
     "op4_bpe": op4_bpe,
+    "op5_passages": op5_passages,
     "op6_mix": op6_mix,
     "op7_quality": op7_quality,
+    "op8_weak_rules": op8_weak_rules,
+    "op9_class_lm": op9_class_lm,
     "op10_simhash": op10_simhash,
 }
 ORACLE_SQL = {"op2_exact_dedup": OP2_SQL}
