@@ -317,10 +317,15 @@ def test_line_links(spark, block):
             at = r.randrange(len(x))
             r.choice([lambda: x.insert(at, "z"), lambda: x.pop(at), lambda: x.__setitem__(at, "y")])()  # noqa: B023
         lines.add("".join(x).strip())
-    nodes = [x for x in sorted(lines) if len(x) >= 40]
-    table = spark.createDataFrame(list(enumerate(nodes)), "node bigint, line string")
+    nodes = {xxhash.xxh64_intdigest(x, 42): x for x in lines if len(x) >= line_dedup.MIN_CHARS}
+    signed = {h - (1 << 64) if h >> 63 else h: x for h, x in nodes.items()}
+    texts = sorted(lines) * 2
+    r.shuffle(texts)
+    table = spark.createDataFrame([("\n".join(texts[i : i + 7]),) for i in range(0, len(texts), 7)] + [(None,)], "text string").repartition(3)
     found = {(x["a"], x["b"]) for x in line_dedup.edit_links(table, block=block).collect()}
-    assert found == {(i, j) for i in range(len(nodes)) for j in range(i + 1, len(nodes)) if brute_edits(nodes[i], nodes[j]) <= line_dedup.MAX_EDITS}
+    keys = sorted(signed)
+    assert found == {(a, b) for n, a in enumerate(keys) for b in keys[n + 1 :] if brute_edits(signed[a], signed[b]) <= line_dedup.MAX_EDITS}
+    assert len(found) > 20
 
 
 def test_edit_distance():

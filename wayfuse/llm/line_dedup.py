@@ -29,12 +29,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialize, text_or_empty
+from .common import WHITE, materialize, text_or_empty
 
-MAX_EDITS = 3
+MAX_EDITS = 2
 #: Lines of fewer characters are compared for equality only: their segments would be a few letters.
 MIN_CHARS = 40
 BLOCK = 512
+#: Up to so many lines that meet another are broadcast, by their 8-byte hashes, to pick their texts; beyond it they are joined by shuffle.
+BROADCAST_NODES = 200_000
 
 
 def segments(length: int, parts: int) -> list[tuple[int, int]]:
@@ -103,39 +105,104 @@ def edit_distance(a: str, b: str, most: int) -> int:
 
 def split_lines(docs: DataFrame, *own, text: str = "text") -> DataFrame:
     """(*own, line_no, line) of every line, white space at its ends cut off; line is null where nothing is left, and a row without text has one such line."""
-    lines = docs.select(*own, F.posexplode(F.split(text_or_empty(text), "\n")).alias("line_no", "line"))
+    held = docs.select(*own, text_or_empty(text).alias("__text"))  # a row is numbered before it becomes several
+    lines = held.select(*held.columns[:-1], F.posexplode(F.split("__text", "\n")).alias("line_no", "line"))
     line = F.regexp_replace("line", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
     return lines.withColumn("line", F.nullif(line, F.lit("")))
 
 
-def _keys(table: pa.Table, edits: int, least: int) -> pa.Table:
-    hash64 = xxhash.xxh64_intdigest
-    nodes, keys, entered = [], [], []
-    for node, line in zip(table.column("node").to_pylist(), table.column("line").to_pylist(), strict=True):
-        length = len(line)
-        for i, (at, size) in enumerate(segments(length, edits + 1)):
-            nodes.append(node)
-            keys.append(hash64(f"{length},{i},{line[at : at + size]}"))
-            entered.append(True)
-        seen = set()
-        for other in range(max(least, length - edits), length + 1):
-            for i, at, size in probes(length, other, edits):
-                if other == length and (i, at, size) == (i, *segments(length, edits + 1)[i]):
-                    continue  # met as an entry
-                seen.add(hash64(f"{other},{i},{line[at : at + size]}"))
-        nodes += [node] * len(seen)
-        keys += seen
-        entered += [False] * len(seen)
-    return pa.table({"node": pa.array(nodes, pa.int64()), "key": pa.array(np.array(keys, np.uint64).view(np.int64)), "entered": pa.array(entered, pa.bool_())})
-
-
-def edit_links(distinct: DataFrame, *, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, block: int = BLOCK) -> DataFrame:
-    """(a, b), a < b, for every two nodes of distinct (node, line) within the edits and of min_chars characters at least."""
-    long = distinct.where(F.char_length("line") >= min_chars).select("node", "line")
-    keyed = map_batches(long, lambda t: _keys(t, edits, min_chars), "node long, key long, entered boolean")
-    crowded = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("entered").alias("used")).where("used and n > 1")
-    crowded = materialize(crowded.select("key", F.ceil(F.col("n") / block).cast("int").alias("parts")), "line-keys")
-    met = keyed.join(crowded, "key").join(long, "node")
+def line_keys(line: str, edits: int, least: int) -> tuple[list[int], list[int]]:
+    """Hashes of the line's segments as they are entered, and of the substrings that it probes with."""
+    hash64, length = xxhash.xxh64_intdigest, len(line)
+    own = segments(length, edits + 1)
+    entered = [hash64(f"{length},{i},{line[at : at + size]}") for i, (at, size) in enumerate(own)]
+    probed = set()
+    for other in range(max(least, length - edits), length + 1):
+        for i, at, size in probes(length, other, edits):
+            if other < length or at != own[i][0]:  # else it is met as an entry
+                probed.add(hash64(f"{other},{i},{line[at : at + size]}"))
+    return entered, list(probed)
+
+
+def _key_rows(edits: int, least: int):
+    """(key, entered, node) of the lines of texts; a line is taken once a batch."""
+
+    def run(batches):
+        for batch in batches:
+            seen: set[str] = set()
+            for text in batch.column("text").to_pylist():
+                if text:
+                    seen.update(x for x in (y.strip(WHITE) for y in text.split("\n")) if len(x) >= least)
+            lines = list(seen)
+            for at in range(0, len(lines), 20_000):
+                keys, counts, nodes = [], [], []
+                for line in lines[at : at + 20_000]:
+                    entered, probed = line_keys(line, edits, least)
+                    keys += entered
+                    keys += probed
+                    counts += (len(entered), len(probed))
+                    nodes.append(xxhash.xxh64_intdigest(line, 42))
+                both = np.array(counts, np.int64)
+                node = np.repeat(np.array(nodes, np.uint64).view(np.int64), both[0::2] + both[1::2])
+                entry = np.repeat(np.tile([True, False], len(nodes)), both)
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(entry), pa.array(node)], names=["key", "entered", "node"])
+
+    return run
+
+
+def _meeting(batches):
+    """Of rows sorted by key, entries first, those of keys that have an entry and another line; equal rows once."""
+    last, alive, head = None, False, None  # the row before, whether its key has an entry, and that entry while it is alone
+
+    def emit(key, entered, node):
+        return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(entered, pa.bool_()), pa.array(node, pa.int64())], names=["key", "entered", "node"])
+
+    for batch in batches:
+        key, node = batch.column("key").to_numpy(), batch.column("node").to_numpy()
+        entered = batch.column("entered").to_numpy(zero_copy_only=False)
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1]) | (entered[1:] != entered[:-1])
+        if last is not None and len(key):
+            fresh[0] = (int(key[0]), bool(entered[0]), int(node[0])) != last
+        key, entered, node = key[fresh], entered[fresh], node[fresh]
+        if not len(key):
+            continue
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        new[0] = last is None or int(key[0]) != last[0]
+        group = np.cumsum(new)  # 0: goes on from the batch before
+        size = np.bincount(group, minlength=group[-1] + 1)
+        lives = np.zeros(group[-1] + 1, bool)
+        lives[0] = alive
+        lives[1:] = entered[new]
+        if size[0] and alive and head is not None:
+            yield emit([head[0]], [True], [head[1]])
+        if size[0] or group[-1] > 0:
+            head = None
+        many = size > 1
+        many[0] = True
+        pick = (lives & many)[group]
+        yield emit(key[pick], entered[pick], node[pick])
+        if group[-1] > 0:
+            alive = bool(lives[-1])
+            if alive and size[-1] == 1:
+                head = int(key[-1]), int(node[-1])
+        last = int(key[-1]), bool(entered[-1]), int(node[-1])
+
+
+def edit_links(docs: DataFrame, *, text: str = "text", edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, block: int = BLOCK) -> DataFrame:
+    """(a, b), a < b, hashes of every two different lines of docs within the edits and of min_chars characters at least."""
+    texts = docs.select(F.col(text).cast("string").alias("text"))
+    keyed = texts.mapInArrow(_key_rows(edits, min_chars), "key long, entered boolean, node long")
+    keyed = keyed.repartition("key").sortWithinPartitions("key", F.col("entered").desc(), "node")
+    met = materialize(keyed.mapInArrow(_meeting, "key long, entered boolean, node long"), "line-met")
+    nodes = materialize(met.select("node").distinct(), "line-nodes")
+    lines = split_lines(docs, text=text).where("line is not null").select(F.xxhash64("line").alias("node"), "line")
+    few = nodes.count() <= BROADCAST_NODES
+    lines = lines.join(F.broadcast(nodes) if few else nodes, "node", "left_semi").groupBy("node").agg(F.min("line").alias("line"))
+    lines = materialize(lines, "line-texts")
+    parts = met.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+    met = met.join(materialize(parts, "line-parts"), "key").join(lines, "node")
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     entries = met.where("entered").select("key", own.alias("i"), every.alias("j"), "node", "line", F.lit(True).alias("entered"))
@@ -175,9 +242,7 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     lines = materialize(lines, "line-rows")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id", "line_no")).alias("first")
     starts = materialize(lines.where("node is not null").groupBy("node").agg(first), "line-starts")
-    texts = split_lines(docs, text=text).where("line is not null").select(F.xxhash64("line").alias("node"), "line")
-    texts = texts.where(F.char_length("line") >= min_chars).groupBy("node").agg(F.min("line").alias("line"))
-    links = materialize(edit_links(materialize(texts, "line-nodes"), edits=edits, min_chars=min_chars), "line-links")
+    links = materialize(edit_links(docs, text=text, edits=edits, min_chars=min_chars), "line-links")
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     around = both.join(starts.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.count(F.lit(1)).alias("n_links"), F.min("first").alias("before"))
     fates = starts.join(around.withColumnRenamed("a", "node"), "node", "left")
