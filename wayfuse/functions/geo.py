@@ -14,8 +14,8 @@ E2 = FLAT * (2 - FLAT)
 K0, FALSE_EASTING, FALSE_NORTHING = 0.9996, 500000.0, 10000000.0
 
 
-def _series() -> tuple[float, list[float], list[float]]:
-    """Rectifying radius, and the forward and inverse coefficients of the sixth-order series in n."""
+def _series() -> tuple[float, list[float], list[float], list[float]]:
+    """Rectifying radius, the forward and inverse coefficients of the sixth-order series in n, and those from conformal to geodetic latitude."""
     n = FLAT / (2 - FLAT)
     radius = A / (1 + n) * (1 + n**2 / 4 + n**4 / 64 + n**6 / 256)
     # Krueger's published series, powers of n from the first.
@@ -35,11 +35,19 @@ def _series() -> tuple[float, list[float], list[float]]:
         [0, 0, 0, 0, 4583 / 161280, -108847 / 3991680],
         [0, 0, 0, 0, 0, 20648693 / 638668800],
     ]
+    delta = [
+        [2, -2 / 3, -2, 116 / 45, 26 / 45, -2854 / 675],
+        [0, 7 / 3, -8 / 5, -227 / 45, 2704 / 315, 2323 / 945],
+        [0, 0, 56 / 15, -136 / 35, -1262 / 105, 73814 / 2835],
+        [0, 0, 0, 4279 / 630, -332 / 35, -399572 / 14175],
+        [0, 0, 0, 0, 4174 / 315, -144838 / 6237],
+        [0, 0, 0, 0, 0, 601676 / 22275],
+    ]
     total = lambda rows: [sum(c * n ** (i + 1) for i, c in enumerate(r)) for r in rows]
-    return radius, total(alpha), total(beta)
+    return radius, total(alpha), total(beta), total(delta)
 
 
-RADIUS, ALPHA, BETA = _series()
+RADIUS, ALPHA, BETA, DELTA = _series()
 
 
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -93,15 +101,11 @@ def utm_inverse(east: Column, north: Column, zone: Column, south: Column) -> tup
     for j, b in enumerate(BETA, 1):
         xi = xi - F.lit(b) * F.sin(2 * j * xi0) * F.cosh(2 * j * eta0)
         eta = eta - F.lit(b) * F.cos(2 * j * xi0) * F.sinh(2 * j * eta0)
-    target = F.sin(xi) / F.sqrt(F.pow(F.sinh(eta), 2) + F.pow(F.cos(xi), 2))
-    tau, e = target, math.sqrt(E2)
-    for _ in range(4):  # Newton steps on the tangent of the latitude; four reach the last bit
-        root = F.sqrt(1 + F.pow(tau, 2))
-        sigma = F.sinh(F.lit(e) * F.atanh(F.lit(e) * tau / root))
-        now = tau * F.sqrt(1 + F.pow(sigma, 2)) - sigma * root
-        step = (target - now) / F.sqrt(1 + F.pow(now, 2)) * (1 + F.lit(1 - E2) * F.pow(tau, 2)) / (F.lit(1 - E2) * root)
-        tau = tau + step
-    return F.degrees(F.atan(tau)), F.degrees(F.atan2(F.sinh(eta), F.cos(xi))) + (zone * 6 - 183)
+    chi = F.atan2(F.sin(xi), F.sqrt(F.pow(F.sinh(eta), 2) + F.pow(F.cos(xi), 2)))
+    lat = chi
+    for j, c in enumerate(DELTA, 1):  # a series, since each step of an iteration would repeat the expression before it
+        lat = lat + F.lit(c) * F.sin(2 * j * chi)
+    return F.degrees(lat), F.degrees(F.atan2(F.sinh(eta), F.cos(xi))) + (zone * 6 - 183)
 
 
 def grid_cell(value: Column, size: float) -> Column:
