@@ -33,7 +33,9 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 #: Signs that are a piece of their own at the end of a part.
 ONE_SIGN = frozenset(".,;:!?|\"()")
 #: Parts that a task remembers; it forgets all of them beyond this.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
+#: Characters that are merged at once, or one longer text.
+AT_ONCE = 4_000_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -132,6 +134,18 @@ class Vocabulary:
         known remembers the ids of each such part: keys are parts without the
         space before them, which all parts but the first of a text have.
         """
+        out: list[bytes] = []
+        part: list[str | None] = []
+        size = 0
+        for text in texts:
+            part.append(text)
+            size += len(text or "")
+            if size >= AT_ONCE:
+                out += self._encode(part, known)
+                part, size = [], 0
+        return out + self._encode(part, known)
+
+    def _encode(self, texts: list[str | None], known: dict[str, bytes]) -> list[bytes]:
         if len(known) > REMEMBERED:
             known.clear()
         plan: list[list] = []  # for each text: ids of special tokens, and lists of parts
