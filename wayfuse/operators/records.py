@@ -8,19 +8,23 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 
 
-def _stamp(record: str, name: str, unit: str | None) -> tuple[Column, Column]:
-    """Milliseconds of the first truthy of two names, and whether the value given can't be read."""
-    raw = S.truthy_or(S.get(record, name), S.get(record, f"{name}_utc_ms"))
-    number = S.integer(raw)
-    return S.to_millis(number, unit), raw.isNotNull() & number.isNull()
+def _stamped(objects: DataFrame, record: str, unit: str | None, names: tuple[str, ...]) -> DataFrame:
+    """Adds __ms_<name>, milliseconds of the first truthy of a field's two names, and __bad_<name>, whether what is given can't be read.
+
+    Step by step, so that no step repeats the expression of the one before.
+    """
+    raw = {f"__raw_{n}": S.truthy_or(S.get(record, n), S.get(record, f"{n}_utc_ms")) for n in names}
+    number = {f"__int_{n}": S.integer(F.col(f"__raw_{n}")) for n in names}
+    ms = {f"__ms_{n}": S.to_millis(F.col(f"__int_{n}"), unit) for n in names}
+    bad = {f"__bad_{n}": F.col(f"__raw_{n}").isNotNull() & F.col(f"__int_{n}").isNull() for n in names}
+    return objects.withColumns(raw).withColumns(number).withColumns(ms | bad)
 
 
 def parse_gnss(objects: DataFrame, *, unit: str | None = None, record: str = "record") -> DataFrame:
     """Positions of records that name a vehicle, a time and both coordinates; the others are dropped."""
-    ms, _ = _stamp(record, "timestamp", unit)
-    found = objects.select(
+    found = _stamped(objects, record, unit, ("timestamp",)).select(
         S.first_of(record, S.VEHICLE_ID).alias("vehicle_id"),
-        ms.alias("timestamp_utc_ms"),
+        F.col("__ms_timestamp").alias("timestamp_utc_ms"),
         S.first_of(record, S.LATITUDE, "double").alias("latitude_deg"),
         S.first_of(record, S.LONGITUDE, "double").alias("longitude_deg"),
         S.first_of(record, S.ALTITUDE, "double").alias("altitude_m"),
@@ -36,12 +40,10 @@ def parse_gnss(objects: DataFrame, *, unit: str | None = None, record: str = "re
 
 def parse_messages(objects: DataFrame, *, unit: str | None = None, record: str = "record") -> DataFrame:
     """Messages of records that name a vehicle; a time that can't be read leaves itself and those after it null."""
-    own, bad_own = _stamp(record, "timestamp", unit)
-    tx, bad_tx = _stamp(record, "tx_timestamp", unit)
-    rx, bad_rx = _stamp(record, "rx_timestamp", unit)
-    bad_own, bad_tx, bad_rx = (F.coalesce(b, F.lit(False)) for b in (bad_own, bad_tx, bad_rx))
+    bad_own, bad_tx = F.col("__bad_timestamp"), F.col("__bad_tx_timestamp")
+    own, tx, rx = (F.col(f"__ms_{n}") for n in ("timestamp", "tx_timestamp", "rx_timestamp"))
     tx, rx = F.when(~bad_own, tx), F.when(~(bad_own | bad_tx), rx)
-    found = objects.select(
+    found = _stamped(objects, record, unit, ("timestamp", "tx_timestamp", "rx_timestamp")).select(
         S.first_of(record, S.VEHICLE_ID).alias("vehicle_id"),
         S.truthy_or(S.get(record, "stationID"), S.get(record, "station_id")).alias("station_id"),
         S.first_of(record, S.STATION_TYPE).alias("station_type"),

@@ -54,10 +54,18 @@ class RecordRun:
     messages: DataFrame
 
 
+def _landed(df: DataFrame, path: str) -> DataFrame:
+    """Written as Parquet and read back: JSON is parsed once, and later filters reach the scan."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def run_records(spark: SparkSession, config: side_files.PipelineConfig, *, step_ms: int = 1000, write: bool = True) -> RecordRun:
     """parse, map ids, filter by region, build trajectories, project, fuse, export."""
     files = json_records.read_files(spark, config.input_dir)
     gnss, messages = records.parse_records(json_records.read_objects(files, sample=config.sample))
+    land = lambda df, name: _landed(df, f"{config.output_dir}/_landed/{name}") if write else df
+    gnss, messages = land(gnss, "gnss"), land(messages, "v2x")
     if config.ids_map_path:
         ids = side_files.load_identity_map(config.ids_map_path)
         gnss, messages = (side_files.apply_identity_map(x, ids) for x in (gnss, messages))
@@ -67,7 +75,7 @@ def run_records(spark: SparkSession, config: side_files.PipelineConfig, *, step_
     if config.region_polygon_path:
         gnss = filters.filter_polygon_file(gnss, config.region_polygon_path, cols=cols)
     named = gnss.select("vehicle_id", F.col("timestamp_utc_ms").alias("timestamp_ms"), F.col("latitude_deg").alias("latitude"), F.col("longitude_deg").alias("longitude"), F.col("altitude_m").alias("altitude"), "speed_mps", "heading_deg", F.struct("source_file", "ordinal").alias("ordinal"))
-    samples = trajectory.trajectory_samples(named, step_ms=step_ms, gap_ms=int(config.gap_threshold_s * 1000))
+    samples = land(trajectory.trajectory_samples(named, step_ms=step_ms, gap_ms=int(config.gap_threshold_s * 1000)), "samples")
     lon0, lat0 = config.origin or (None, None)
     samples, origin = coordinates.project(samples, use_enu=config.use_enu, origin=(lat0, lon0, None if lat0 is None else 0.0))
     fused = fusion.fuse_records(samples, messages, tolerance_ms=config.sync_tolerance_ms)
