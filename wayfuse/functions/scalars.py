@@ -44,14 +44,16 @@ def any_key(record: Column | str, paths: tuple[str, ...]) -> Column:
     return reduce(lambda a, b: a | b, [has_key(record, p) for p in paths])
 
 
-def truthy(value: Column) -> Column:
-    """Null for '' and 0 in any spelling, else the string itself."""
-    zero = value.try_cast("double") == 0
-    return F.when((value == "") | F.coalesce(zero, F.lit(False)) | value.isin("false", "False"), None).otherwise(value)
+def truthy(record: Column | str, path: str) -> Column:
+    """The value at path as a string, null for '', the number 0 and false; the string '0' is kept."""
+    value = F.try_variant_get(record, f"$.{path}", "variant")
+    text, kind = get(record, path), F.schema_of_variant(value)
+    nothing = F.when(kind == "STRING", text == "").when(kind == "BOOLEAN", text == "false").otherwise(F.coalesce(text.try_cast("double") == 0, F.lit(False)))
+    return F.when(~nothing, text)
 
 
-def truthy_or(*values: Column) -> Column:
-    return F.coalesce(*[truthy(v) for v in values])
+def truthy_or(record: Column | str, *paths: str) -> Column:
+    return F.coalesce(*[truthy(record, p) for p in paths])
 
 
 def timestamp_unit(ts: Column) -> Column:
@@ -102,12 +104,9 @@ def is_message_like(record: Column | str) -> Column:
 
 def identity(record: Column | str) -> tuple[Column, Column, Column]:
     """(vehicle id, station type, message type) as profiling sees them, nested places included."""
-    vehicle = truthy_or(*[get(record, n) for n in VEHICLE_ID], get(record, "header.station_id.value"))
-    station = truthy_or(
-        *[get(record, n) for n in STATION_TYPE],
-        get(record, "cam.cam_parameters.basic_container.station_type.value"),
-    )
+    vehicle = truthy_or(record, *VEHICLE_ID, "header.station_id.value")
+    station = truthy_or(record, *STATION_TYPE, "cam.cam_parameters.basic_container.station_type.value")
     by_key = F.when(has_key(record, "cam"), "CAM").when(has_key(record, "denm"), "DENM")
     number = get(record, "header.message_id").try_cast("int")
     by_number = F.when(number == 2, "CAM").when(number == 1, "DENM")
-    return vehicle, station, F.coalesce(truthy_or(*[get(record, n) for n in MESSAGE_TYPE]), by_key, by_number)
+    return vehicle, station, F.coalesce(truthy_or(record, *MESSAGE_TYPE), by_key, by_number)

@@ -13,7 +13,7 @@ def _stamped(objects: DataFrame, record: str, unit: str | None, names: tuple[str
 
     Step by step, so that no step repeats the expression of the one before.
     """
-    raw = {f"__raw_{n}": S.truthy_or(S.get(record, n), S.get(record, f"{n}_utc_ms")) for n in names}
+    raw = {f"__raw_{n}": S.truthy_or(record, n, f"{n}_utc_ms") for n in names}
     number = {f"__int_{n}": S.integer(F.col(f"__raw_{n}")) for n in names}
     ms = {f"__ms_{n}": S.to_millis(F.col(f"__int_{n}"), unit) for n in names}
     bad = {f"__bad_{n}": F.col(f"__raw_{n}").isNotNull() & F.col(f"__int_{n}").isNull() for n in names}
@@ -30,7 +30,7 @@ def parse_gnss(objects: DataFrame, *, unit: str | None = None, record: str = "re
         S.first_of(record, S.ALTITUDE, "double").alias("altitude_m"),
         S.first_of(record, S.SPEED, "double").alias("speed_mps"),
         S.first_of(record, S.HEADING, "double").alias("heading_deg"),
-        S.truthy_or(S.get(record, "stationID"), S.get(record, "station_id")).alias("station_id"),
+        S.truthy_or(record, "stationID", "station_id").alias("station_id"),
         S.first_of(record, S.STATION_TYPE).alias("station_type"),
         F.col("file").alias("source_file"),
         "ordinal",
@@ -45,7 +45,7 @@ def parse_messages(objects: DataFrame, *, unit: str | None = None, record: str =
     tx, rx = F.when(~bad_own, tx), F.when(~(bad_own | bad_tx), rx)
     found = _stamped(objects, record, unit, ("timestamp", "tx_timestamp", "rx_timestamp")).select(
         S.first_of(record, S.VEHICLE_ID).alias("vehicle_id"),
-        S.truthy_or(S.get(record, "stationID"), S.get(record, "station_id")).alias("station_id"),
+        S.truthy_or(record, "stationID", "station_id").alias("station_id"),
         S.first_of(record, S.STATION_TYPE).alias("station_type"),
         own.alias("timestamp_utc_ms"),
         tx.alias("tx_timestamp_utc_ms"),
@@ -83,7 +83,7 @@ def route(topic: Column, *, demo: bool = False) -> Column:
 
 def entry_ids(entries: DataFrame) -> DataFrame:
     """(file, vehicle_id) of every message on the topics that tell ids."""
-    sid = S.truthy(S.get("message", "header.station_id.value"))
+    sid = S.truthy("message", "header.station_id.value")
     return entries.where(F.col("topic").isin(*ID_TOPICS)).select("file", sid.alias("vehicle_id"))
 
 
@@ -109,13 +109,13 @@ def topic_positions(entries: DataFrame, ids: DataFrame, *, compat: bool = False,
 
 def topic_messages(entries: DataFrame, *, compat: bool = False, demo: bool = False) -> DataFrame:
     """Messages of message topics. entries needs sizes, the sizes of each topic's messages."""
-    sender = F.coalesce(S.truthy(S.get("message", "header.station_id.value")), F.lit("unknown"))
+    sender = F.coalesce(S.truthy("message", "header.station_id.value"), F.lit("unknown"))
     kind = F.when(S.has_key("message", "cam"), "CAM").when(S.has_key("message", "denm"), "DENM").otherwise("UNKNOWN")
-    frame = S.truthy(S.get("message", "header.frame_id"))
+    frame = S.truthy("message", "header.frame_id")
     address = F.try_variant_get("message", "$.address", "variant")
     shape = F.schema_of_variant(address)
     address = F.when(shape == "STRING", address.try_cast("string")).when(
-        shape.startswith("OBJECT"), S.truthy_or(S.get("message", "address.value"), S.get("message", "address.address"))
+        shape.startswith("OBJECT"), S.truthy_or("message", "address.value", "address.address")
     )
     is_message = F.schema_of_variant("message").startswith("OBJECT")
     rows = entries.where((route(F.col("topic"), demo=demo) == "message") & F.col("recording_timestamp_nsec").isNotNull() & is_message)

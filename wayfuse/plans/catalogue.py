@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo, savgol, scalars
@@ -39,6 +39,11 @@ def rounded(df: DataFrame, n: int = 6) -> DataFrame:
     return df.select(*[(F.round(c, n) + F.lit(0.0)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
+def filled(column: str) -> Column:
+    """-1 for null, where results are compared by tools that tell integers with nulls from integers."""
+    return F.coalesce(column, F.lit(-1)).cast("bigint").alias(column)
+
+
 def fused(spark: SparkSession, d: str) -> DataFrame:
     return fusion.fuse_topics(positions(spark, d), messages(spark, d), window_ms=WINDOW_MS)
 
@@ -93,10 +98,10 @@ best AS (SELECT m.ordinal, m.vehicle_id, m.timestamp_ms,
   FROM msg m LEFT JOIN back USING (ordinal) LEFT JOIN ahead USING (ordinal))"""
 
 
-@query(_NEAREST + " SELECT best.ordinal, best.vehicle_id, best.timestamp_ms, x.t AS match_ts, p.latitude, p.longitude FROM best LEFT JOIN pos p ON p.ordinal = x.o")
+@query(_NEAREST + " SELECT best.ordinal, best.vehicle_id, best.timestamp_ms, coalesce(x.t, -1) AS match_ts, p.latitude, p.longitude FROM best LEFT JOIN pos p ON p.ordinal = x.o")
 def asof_nearest(spark, d):
     found = fusion.nearest_join(messages(spark, d), positions(spark, d), tolerance_ms=TOLERANCE_MS, take=("latitude", "longitude"))
-    return found.select("ordinal", "vehicle_id", "timestamp_ms", "match_ts", "latitude", "longitude")
+    return found.select("ordinal", "vehicle_id", "timestamp_ms", filled("match_ts"), "latitude", "longitude")
 
 
 @query(_NEAREST + " SELECT count(*) AS total, count(x) AS matched, round(count(x) / count(*)::DOUBLE, 6) AS match_rate FROM best")
@@ -110,12 +115,12 @@ pairs AS (SELECT u.ordinal, k.vehicle_id AS matched_id, abs(u.timestamp_ms - k.t
   2 * 6371000.0::DOUBLE * asin(sqrt(least(1.0::DOUBLE, pow(sin(radians(k.latitude - u.latitude) / 2), 2) + cos(radians(u.latitude)) * cos(radians(k.latitude)) * pow(sin(radians(k.longitude - u.longitude) / 2), 2)))) AS dist_m
   FROM u JOIN k ON k.timestamp_ms BETWEEN u.timestamp_ms - 1800000 AND u.timestamp_ms + 1800000),
 r AS (SELECT *, row_number() OVER (PARTITION BY ordinal ORDER BY dt_ms, dist_m, matched_id) AS rn FROM pairs WHERE dist_m < 20000)
-SELECT u.ordinal, r.matched_id, r.dt_ms, round(r.dist_m, 4) AS dist_m FROM u LEFT JOIN r ON r.ordinal = u.ordinal AND rn = 1"""
+SELECT u.ordinal, r.matched_id, coalesce(r.dt_ms, -1) AS dt_ms, round(r.dist_m, 4) AS dist_m FROM u LEFT JOIN r ON r.ordinal = u.ordinal AND rn = 1"""
 )
 def spatiotemporal_match(spark, d):
     p = positions(spark, d)
     found = fusion.spatiotemporal_match(p.where("ordinal % 2 = 1"), p.where("ordinal % 2 = 0"), max_ms=1_800_000, max_m=20_000.0)
-    return rounded(found.select("ordinal", "matched_id", "dt_ms", "dist_m"), 4)
+    return rounded(found.select("ordinal", "matched_id", filled("dt_ms"), "dist_m"), 4)
 
 
 # --- filters --------------------------------------------------------------
@@ -378,7 +383,7 @@ def haversine_steps(spark, d):
 
 @query(
     """SELECT vehicle_id, CAST(sum(messages_sent) AS BIGINT) AS messages_sum, round(avg(messages_sent), 6) AS messages_mean, round(stddev_samp(messages_sent), 6) AS messages_std,
-  CAST(sum(total_bytes_sent) AS BIGINT) AS bytes_sum, min(latitude) AS min_latitude, max(latitude) AS max_latitude, min(longitude) AS min_longitude, max(longitude) AS max_longitude,
+  CAST(sum(total_bytes_sent) AS BIGINT) AS bytes_sum, round(min(latitude), 6) AS min_latitude, round(max(latitude), 6) AS max_latitude, round(min(longitude), 6) AS min_longitude, round(max(longitude), 6) AS max_longitude,
   round(max(latitude) - min(latitude), 6) AS lat_range, round(max(longitude) - min(longitude), 6) AS lon_range,
   round(sqrt(pow(max(latitude) - min(latitude), 2) + pow(max(longitude) - min(longitude), 2)), 6) AS mobility_range FROM fused GROUP BY 1"""
 )
@@ -660,20 +665,20 @@ def parse_gnss(spark, d):
 
 @query(
     _RAW
-    + """ SELECT ordinal, vehicle_id, CAST(t AS BIGINT) AS timestamp_utc_ms, CASE WHEN m THEN ms END AS tx_timestamp_utc_ms, CASE WHEN m THEN ms + k END AS rx_timestamp_utc_ms,
-  CASE WHEN m THEN event_type END AS message_type, CASE WHEN m AND ordinal % 2 = 0 THEN 'v2v' END AS direction, CASE WHEN m THEN k END AS payload_bytes, CASE WHEN m THEN CAST(k AS DOUBLE) END AS latency_ms
+    + """ SELECT ordinal, vehicle_id, CAST(t AS BIGINT) AS timestamp_utc_ms, CASE WHEN m THEN ms ELSE -1 END AS tx_timestamp_utc_ms, CASE WHEN m THEN ms + k ELSE -1 END AS rx_timestamp_utc_ms,
+  CASE WHEN m THEN event_type END AS message_type, CASE WHEN m AND ordinal % 2 = 0 THEN 'v2v' END AS direction, CASE WHEN m THEN k ELSE -1 END AS payload_bytes, CASE WHEN m THEN CAST(k AS DOUBLE) END AS latency_ms
 FROM (SELECT *, ordinal % 3 = 1 AS m FROM r) WHERE vehicle_id IS NOT NULL"""
 )
 def parse_v2x(spark, d):
     from ..operators.records import parse_messages as parse
 
-    return parse(_objects(spark, d)).select("ordinal", "vehicle_id", "timestamp_utc_ms", "tx_timestamp_utc_ms", "rx_timestamp_utc_ms", "message_type", "direction", "payload_bytes", "latency_ms")
+    return parse(_objects(spark, d)).select("ordinal", "vehicle_id", "timestamp_utc_ms", filled("tx_timestamp_utc_ms"), filled("rx_timestamp_utc_ms"), "message_type", "direction", filled("payload_bytes"), "latency_ms")
 
 
 @query(
     _RAW
     + """ SELECT CAST(1 AS BIGINT) AS total_files, count(*) FILTER (ordinal % 3 = 0) AS gnss_records, count(*) FILTER (ordinal % 3 = 1) AS v2x_records, count(*) FILTER (ordinal % 3 = 2) AS other_records,
-  count(DISTINCT nullif(vehicle_id, '0')) AS vehicle_count, string_agg(DISTINCT CASE WHEN ordinal % 3 = 1 THEN event_type END, ',' ORDER BY CASE WHEN ordinal % 3 = 1 THEN event_type END) AS message_types FROM r"""
+  count(DISTINCT CASE WHEN ordinal % 2 = 0 OR vehicle_id <> '0' THEN vehicle_id END) AS vehicle_count, string_agg(DISTINCT CASE WHEN ordinal % 3 = 1 THEN event_type END, ',' ORDER BY CASE WHEN ordinal % 3 = 1 THEN event_type END) AS message_types FROM r"""
 )
 def discovery_summary(spark, d):
     from ..operators.records import discovery_summary as summary
