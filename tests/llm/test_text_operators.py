@@ -233,8 +233,8 @@ def test_weak_rules_find_accuracies():
     votes = np.where(r.random((20_000, 4)) < right, 1, -1) * np.where(truth, 1, -1)[:, None]
     votes[r.random(votes.shape) < 0.3] = 0
     patterns, counts = np.unique(votes, axis=0, return_counts=True)
-    good, accuracy = weak_rules.fit(patterns.astype(float), counts.astype(float))
-    assert abs(good - 0.7) < 0.05 and np.abs(accuracy - right).max() < 0.06
+    good, on_good, on_bad = weak_rules.fit(patterns.astype(float), counts.astype(float), sure=0.5, drawn=1e-9, rounds=5000)
+    assert abs(good - 0.7) < 0.05 and np.abs(on_good - right).max() < 0.06 and np.abs(on_bad - right).max() < 0.06
 
 
 @pytest.mark.parametrize("looked_up", [5, 100_000])
