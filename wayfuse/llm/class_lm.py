@@ -153,6 +153,7 @@ def train(docs: DataFrame, *, text: str = "text", clustered: int = CLUSTERED, cl
     table = words.where(short & (step >= least)).toPandas() if distinct else None
     rows = sorted(zip(map(bytes, table["word"]), table["c"].tolist(), strict=True), key=lambda r: (r[0] != END, -r[1], r[0])) if table is not None else []
     model = Model([w for w, _ in rows], np.array([c for _, c in rows], np.float64), min(clustered, len(rows)))
+    del table, rows
     model.least, model.size, model.distinct = least, int(size), int(distinct)
     n = model.clustered + LENGTHS
     shared = spark.sparkContext.broadcast(model)
