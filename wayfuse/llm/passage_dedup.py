@@ -8,15 +8,16 @@ phrases are the dictionary, their occurrences in corpus order the parse.
 
 An occurrence of a phrase that is in the parse before is covered whole. Of first
 occurrences, only phrases whose trigger is shared by another phrase can have
-windows in common with it; their windows are the dictionary's suffixes, brought
-into corpus order by their first WIDTH bytes, of which a 128-bit hash stands for
-the bytes. Nothing beyond WIDTH bytes is ever compared, so the order of longer
+windows in common with it; their windows are the dictionary's suffixes, compared
+by their first WIDTH bytes in corpus order, trigger by trigger; a 128-bit hash
+stands for the bytes. Nothing beyond WIDTH bytes is ever compared, so the order of longer
 suffixes, which suffix arrays of the whole dictionary and parse would give, is
 left out; what is equal and which comes first is the same.
 
 Phrases and windows are collapsed within each batch before the shuffle, so a
 passage with many copies sends one row a batch. Sorted partitions are read as
-streams, so no group has to fit memory.
+streams; of a trigger with many different phrases the windows are dealt out by
+content instead of being held, so no group has to fit memory.
 
 Defined results: a null or empty text has no bytes and nothing removed; texts
 shorter than WIDTH lose nothing; a null id comes after all others; rows that
@@ -29,6 +30,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -93,9 +95,9 @@ class Rows:
 
 
 ROWS = "g long, c long, doc long, a int, b int"
-SPANS = "doc long, a int, b int, covered boolean"
-#: Phrases or windows that are collapsed and sent at once.
-SENT = 500_000
+SPANS = "doc long, a int, b int, g long, covered boolean"
+#: Phrases that are collapsed and sent at once, and phrases of one trigger that are held at once, below 10 MB.
+SENT, HELD = 500_000, 20_000
 
 
 def _parse(batches):
@@ -119,31 +121,120 @@ def _parse(batches):
         yield Rows(*cols).batch()
 
 
-def _windows(batches):
-    """Occurrences of windows of the phrases in spans (array of a, b)."""
-    cols: list[list[np.ndarray]] = [[], [], [], [], []]
-    held = 0
+def _pack(batches):
+    """Texts compressed, for the shuffles to carry."""
     for batch in batches:
-        spans = batch.column("spans").to_pylist()
-        for doc, text, own_spans in zip(batch.column("doc").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist(), spans, strict=True):
-            view, digest = memoryview(text), xxhash.xxh3_128_digest
-            at = np.concatenate([np.arange(s["a"], s["b"] + 1) for s in own_spans])
-            raw = np.frombuffer(b"".join(digest(view[p : p + WIDTH]) for p in at.tolist()), np.int64)
-            for own, x in zip(cols, (raw[0::2], raw[1::2], np.full(len(at), doc), at, at), strict=True):
-                own.append(x)
-            held += len(at)
+        press = zstandard.ZstdCompressor(level=1).compress
+        packed = [press(t) for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
+        at = batch.schema.get_field_index("text")
+        columns = [c for i, c in enumerate(batch.columns) if i != at]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(packed, pa.binary())], names=[*(n for n in batch.schema.names if n != "text"), "packed"])
+
+
+def _contexts(batches):
+    """The bytes of the phrases in spans (array of a, b, g)."""
+    for batch in batches:
+        out: list[list] = [[], [], [], []]
+        held = 0
+        for doc, packed, spans in zip(batch.column("doc").to_pylist(), batch.column("packed").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+            text = zstandard.ZstdDecompressor().decompress(packed)
+            for s in spans:
+                for own, x in zip(out, (s["g"], doc, s["a"], text[s["a"] : s["b"] + WIDTH]), strict=True):
+                    own.append(x)
+            held += len(spans)
             if held >= SENT:
-                yield Rows(*cols).batch()
-                cols, held = [[], [], [], [], []], 0
-    if held:
-        yield Rows(*cols).batch()
+                yield _context_batch(out)
+                out, held = [[], [], [], []], 0
+        yield _context_batch(out)
+
+
+def _context_batch(out: list[list]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=["g", "doc", "a", "bytes"])
+
+
+def _windows(limit: int):
+    """Of phrases sorted by (g, doc, a): spans of windows that come before among the phrases of their trigger, without content.
+
+    The phrases of a trigger that has more than limit of them are not held: their
+    windows are returned as occurrences with content, to be dealt out by it.
+    """
+
+    def run(batches):
+        covered: list[list[int]] = [[], [], []]
+        hot: list[list[np.ndarray]] = [[], [], [], [], []]
+        held, now, spilling, waiting = [], None, False, 0
+
+        def digests(data: bytes) -> list[bytes]:
+            digest, view = xxhash.xxh3_128_digest, memoryview(data)
+            return [digest(view[p : p + WIDTH]) for p in range(len(data) - WIDTH + 1)]
+
+        def resolve() -> None:
+            seen: set[bytes] = set()
+            for doc, a, data in held:
+                start = None
+                for p, w in enumerate(digests(data)):
+                    if w in seen:
+                        start = p if start is None else start
+                        continue
+                    seen.add(w)
+                    if start is not None:
+                        put(doc, a + start, a + p - 1)
+                        start = None
+                if start is not None:
+                    put(doc, a + start, a + len(data) - WIDTH)
+
+        def put(*span: int) -> None:
+            for own, x in zip(covered, span, strict=True):
+                own.append(x)
+
+        def spill(doc: int, a: int, data: bytes) -> None:
+            raw = np.frombuffer(b"".join(digests(data)), np.int64)
+            at = np.arange(a, a + len(raw) // 2)
+            for own, x in zip(hot, (raw[0::2], raw[1::2], np.full(len(at), doc), at, at), strict=True):
+                own.append(x)
+
+        def send():
+            if covered[0]:
+                n = len(covered[0])
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int64)), pa.nulls(n, pa.int64()), pa.array(covered[0], pa.int64()), pa.array(covered[1], pa.int32()), pa.array(covered[2], pa.int32())], names=list(Rows.NAMES))
+                for own in covered:
+                    own.clear()
+            if hot[0]:
+                yield Rows(*hot).batch()
+                for own in hot:
+                    own.clear()
+
+        for batch in batches:
+            for g, doc, a, data in zip(*(batch.column(n).to_pylist() for n in ("g", "doc", "a", "bytes")), strict=True):
+                if g != now:
+                    resolve()
+                    held, now, spilling = [], g, False
+                if spilling:
+                    spill(doc, a, data)
+                    waiting += 1
+                else:
+                    held.append((doc, a, data))
+                    if len(held) > limit:
+                        for row in held:
+                            spill(*row)
+                        held, spilling = [], True
+                if waiting > 5000:
+                    waiting = 0
+                    yield from send()
+            yield from send()
+        resolve()
+        yield from send()
+
+    return run
 
 
 def _fates(doubtful: bool):
     """Over rows sorted by all columns: spans that are covered and, if doubtful is set, first occurrences that share their group with other content."""
 
-    def emit(doc, a, b, covered):
-        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(covered, pa.bool_())], names=["doc", "a", "b", "covered"])
+    def emit(doc, a, b, g, covered):
+        columns = [pa.array(doc, pa.int64()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.nulls(len(doc), pa.int64()) if covered else pa.array(g, pa.int64()), pa.array([covered] * len(doc), pa.bool_())]
+        return pa.RecordBatch.from_arrays(columns, names=["doc", "a", "b", "g", "covered"])
 
     def run(batches):
         last = None  # group and content before
@@ -152,7 +243,7 @@ def _fates(doubtful: bool):
             g, doc, a, b = (batch.column(n).to_numpy() for n in ("g", "doc", "a", "b"))
             known = np.asarray(batch.column("c").is_null())
             if known.any():
-                yield emit(doc[known], a[known], b[known], np.ones(int(known.sum()), bool))
+                yield emit(doc[known], a[known], b[known], None, True)
             c = batch.column("c").fill_null(0).to_numpy()
             g, c, doc, a, b = (x[~known] for x in (g, c, doc, a, b))
             if not len(g):
@@ -164,23 +255,23 @@ def _fates(doubtful: bool):
                 new_g[0] = g[0] != last[0]
                 new_c[0] = new_g[0] or c[0] != last[1]
             last = int(g[-1]), int(c[-1])
-            yield emit(doc[~new_c], a[~new_c], b[~new_c], np.ones(int((~new_c).sum()), bool))
+            yield emit(doc[~new_c], a[~new_c], b[~new_c], None, True)
             if not doubtful:
                 continue
             group = np.cumsum(new_g)  # 0: goes on from the batch before
             other = new_c & ~new_g
             mixed = np.bincount(group[other], minlength=group[-1] + 1) > 0
             if head is not None and mixed[0]:
-                yield emit(*[[x] for x in head], [False])
+                yield emit(*[[x] for x in head], False)
                 head = None
             if head is not None and group[-1] > 0:
                 head = None
             heads = new_g & mixed[group]
             pick = other | heads
-            yield emit(doc[pick], a[pick], b[pick], np.zeros(int(pick.sum()), bool))
+            yield emit(doc[pick], a[pick], b[pick], g[pick], False)
             if group[-1] > 0:
                 at = int(np.flatnonzero(new_g)[-1])
-                head = None if mixed[-1] else (int(doc[at]), int(a[at]), int(b[at]))
+                head = None if mixed[-1] else (int(doc[at]), int(a[at]), int(b[at]), int(g[at]))
 
     return run
 
@@ -204,14 +295,17 @@ def numbered(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
     return materialize(own.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("doc", F.monotonically_increasing_id()), "passage-docs").select("doc", "doc_id", "text")
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(docs: DataFrame, *, held: int = HELD) -> DataFrame:
     """(doc, a, b): windows a to b of each numbered document that start earlier in the corpus as well."""
     texts = docs.where(F.octet_length("text") >= WIDTH).select("doc", "text")
     found = materialize(_ordered(texts.mapInArrow(_parse, ROWS)).mapInArrow(_fates(True), SPANS), "passage-phrases")
-    unsure = found.where("not covered").groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    windows = texts.join(unsure, "doc").mapInArrow(_windows, ROWS)
-    again = materialize(_ordered(windows).mapInArrow(_fates(False), SPANS), "passage-windows")
-    return found.where("covered").select("doc", "a", "b").unionByName(again.select("doc", "a", "b"))
+    unsure = found.where("not covered").groupBy("doc").agg(F.collect_list(F.struct("a", "b", "g")).alias("spans"))
+    contexts = texts.mapInArrow(_pack, "doc long, packed binary").join(unsure, "doc").mapInArrow(_contexts, "g long, doc long, a int, bytes binary")
+    contexts = contexts.repartition("g").sortWithinPartitions("g", "doc", "a")
+    again = materialize(contexts.mapInArrow(_windows(held), ROWS), "passage-windows")
+    hot = _ordered(again.where("c is not null")).mapInArrow(_fates(False), SPANS)
+    spans = ("doc", "a", "b")
+    return found.where("covered").select(*spans).unionByName(again.where("c is null").select(*spans)).unionByName(hot.select(*spans))
 
 
 def cut(text: bytes, spans: list, width: int = WIDTH) -> tuple[bytes, int]:
@@ -226,15 +320,16 @@ def cut(text: bytes, spans: list, width: int = WIDTH) -> tuple[bytes, int]:
     return b"".join(out), runs
 
 
-def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", held: int = HELD) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary, since a cut may part a character) of every row."""
     rows = numbered(docs, doc_id=doc_id, text=text)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    spans = repeated_spans(rows).groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    spans = repeated_spans(rows, held=held).groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
     def run(batches):
         for batch in batches:
-            texts, own = batch.column("text").cast(pa.large_binary()).to_pylist(), batch.column("spans").to_pylist()
+            texts = [zstandard.ZstdDecompressor().decompress(z) for z in batch.column("packed").to_pylist()]
+            own = batch.column("spans").to_pylist()
             done = [cut(t, s) if s else (t, 0) for t, s in zip(texts, own, strict=True)]
             n = [len(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
@@ -242,5 +337,6 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
-    joined = rows.join(spans, "doc", "left").select("doc_id", "text", "spans")
+    packed = rows.mapInArrow(_pack, f"doc long, doc_id {kind}, packed binary")
+    joined = packed.join(spans, "doc", "left").select("doc_id", "packed", "spans")
     return joined.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
