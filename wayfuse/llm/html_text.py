@@ -1,6 +1,6 @@
 """Main text of web pages by removal of site templates.
 
-A page is read once into blocks of text, each with the hashes of the container
+A page is read into blocks of text, each with the hashes of the container
 elements around it. Hashes are counted per host, by pages; a container that
 recurs on many pages of its host is the site's template, and its blocks go.
 What the elements themselves tell counts as well: menus, forms, scripts and the
@@ -212,12 +212,17 @@ def templates(read_pages: DataFrame, *, min_pages: int = MIN_PAGES) -> DataFrame
 
 def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
     """page_id, url and text of every row of pages, and how many blocks were template."""
-    found = materialize(page_blocks(pages, page_id=page_id, url=url, html=html), "html-blocks")
-    site = materialize(templates(found, min_pages=min_pages), "html-templates")
+    found = page_blocks(pages, page_id=page_id, url=url, html=html)
+    site = materialize(templates(found.select("host", "hashes"), min_pages=min_pages), "html-templates")
     marked = F.exists("blocks", lambda b: b["article"])
     main = found.withColumn("blocks", F.when(marked, F.filter("blocks", lambda b: b["article"])).otherwise(F.col("blocks"))).drop("hashes")
-    used = main.select("row_id", "host", F.explode(F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["hashes"])))).alias("hash"))
+    within = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["hashes"])))
+    text = lambda c: F.array_join(F.transform(c, lambda b: b["text"]), "\n").alias("text")
+    # A page none of whose main blocks lies in a container that could be template is done; reading it again costs less than keeping it.
+    plain = main.where(F.size(within) == 0).select("page_id", "url", text("blocks"), F.lit(0).alias("n_template_blocks"))
+    doubtful = materialize(main.where(F.size(within) > 0), "html-doubtful")
+    used = doubtful.select("row_id", "host", F.explode(within).alias("hash"))
     hits = used.join(site, ["host", "hash"]).groupBy("row_id").agg(F.collect_set("hash").alias("site"))
     kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["hashes"], F.coalesce("site", F.array().cast("array<bigint>"))))
-    joined = main.join(hits, "row_id", "left").withColumn("kept", kept)
-    return joined.select("page_id", "url", F.array_join(F.transform("kept", lambda b: b["text"]), "\n").alias("text"), (F.size("blocks") - F.size("kept")).alias("n_template_blocks"))
+    joined = doubtful.join(hits, "row_id", "left").withColumn("kept", kept)
+    return plain.unionByName(joined.select("page_id", "url", text("kept"), (F.size("blocks") - F.size("kept")).alias("n_template_blocks")))
