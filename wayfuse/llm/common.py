@@ -48,6 +48,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_keyed(docs: DataFrame, doc_id: str, label: str) -> tuple[DataFrame, str]:
+    """docs with a column that tells its rows apart, and that column's name, which clashes with no other.
+
+    Where integer ids do so already they are the key and nothing is written; a
+    look at the ids alone tells. Else the rows are numbered and written once.
+    """
+    row = f"row_{uuid.uuid4().hex}"
+    if docs.schema[doc_id].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint"):
+        worst = docs.groupBy(F.col(doc_id).alias("i")).count().agg(F.max("count"), F.count_if(F.col("i").isNull())).first()
+        if worst[0] in (None, 1) and not worst[1]:
+            return docs.withColumn(row, F.col(doc_id).cast("bigint")), row
+    return materialize(docs.withColumn(row, F.monotonically_increasing_id()), label), row
+
+
 @atexit.register
 def _clean() -> None:
     for spark, path in _made:

@@ -13,12 +13,10 @@ than the id and the text are ignored, whatever their names.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, materialize, text_or_empty
+from .common import WHITE, materialize, row_keyed, text_or_empty
 
 PREFIX_CHARS = 64
 #: Up to so many surviving (length, prefix) groups are broadcast: at 16 bytes
@@ -93,11 +91,10 @@ def exact_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 def drop_exact_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns and nothing else.
 
-    The input is written once with a row number, so that rows which repeat an
-    id or have none are told apart; the ids of dropped rows are joined back.
+    Rows that repeat an id, or have none, are told apart by a row number; the
+    keys of dropped rows are joined back.
     """
-    row = f"row_{uuid.uuid4().hex}"
-    named = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "exact-input")
+    named, row = row_keyed(docs, doc_id, "exact-input")
     fates = exact_groups(named, doc_id=doc_id, text=text, row_id=row)
     dropped = materialize(fates.where(~F.col("kept")).select(F.col("row_id").alias(row)), "exact-dropped")
     return named.join(dropped, row, "left_anti").drop(row)

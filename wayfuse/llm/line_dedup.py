@@ -21,15 +21,13 @@ columns are ignored.
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, materialize, text_or_empty
+from .common import WHITE, materialize, row_keyed, text_or_empty
 
 MAX_EDITS = 2
 #: Lines of fewer characters are compared for equality only: their segments would be a few letters.
@@ -262,8 +260,7 @@ def per_document(fates: DataFrame) -> DataFrame:
 
 def drop_duplicate_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with the duplicate lines cut out of the texts; other lines stay as they are."""
-    row = f"row_{uuid.uuid4().hex}"
-    named = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "line-input")
+    named, row = row_keyed(docs, doc_id, "line-input")
     fates = dedup_lines(named, doc_id=doc_id, text=text, row_id=row).where("duplicate")
     gone = fates.groupBy(F.col("row_id").alias(row)).agg(F.collect_set("line_no").alias(f"{row}_gone"))
     kept = F.filter(F.split(F.col(text), "\n"), lambda _, i: ~F.array_contains(F.col(f"{row}_gone"), i))

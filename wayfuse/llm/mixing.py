@@ -21,12 +21,10 @@ columns are ignored.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WHITE_CLASS, materialize, text_or_empty
+from .common import WHITE_CLASS, materialize, row_keyed, text_or_empty
 
 BLOCK_TOKENS = 2048
 MAX_REPEATS = 3
@@ -173,11 +171,11 @@ def apply_mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", so
     Documents are not cut, so a document stays once for each half or more of it
     that the mix takes, and goes if less is taken; one without words goes.
     """
-    row = f"row_{uuid.uuid4().hex}"
-    named = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "mix-input")
+    named, row = row_keyed(docs, doc_id, "mix-input")
     placed, takes = mix(named, doc_id=doc_id, text=text, source=source, row_id=row)
     times = taken_words(placed, takes).where("size > 0")
     times = times.select(F.col("row_id").alias(row), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias(f"{row}_n"))
     times = materialize(times.where(F.col(f"{row}_n") > 0), "mix-times")
     many = F.explode(F.sequence(F.lit(1), F.col(f"{row}_n")))
-    return named.join(times, row).withColumn(f"{row}_i", many).select(*docs.columns)
+    # As many rows as documents: never one to broadcast, whatever the planner reckons of a small input.
+    return named.join(times.hint("merge"), row).withColumn(f"{row}_i", many).select(*docs.columns)

@@ -22,15 +22,13 @@ component that has an id; repeated rows are returned as often as they occur.
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialize, words_of
+from .common import map_batches, materialize, row_keyed, words_of
 
 SEED = 42
 SHINGLE = 3
@@ -252,8 +250,7 @@ def near_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 
 def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The first row (smallest id, then input order) of each component, with all columns of docs."""
-    row = f"row_{uuid.uuid4().hex}"
-    named = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-input")
+    named, row = row_keyed(docs, doc_id, "simhash-input")
     fates = near_groups(named, doc_id=doc_id, text=text, row_id=row)
     dropped = materialize(fates.where(~F.col("kept")).select(F.col("row_id").alias(row)), "simhash-dropped")
     return named.join(dropped, row, "left_anti").drop(row)
