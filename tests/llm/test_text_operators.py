@@ -272,6 +272,26 @@ def test_exchange_finds_planted_classes():
     assert all(len(set(found[own == c])) == 1 for c in range(4))
 
 
+@pytest.mark.parametrize("looked_up", [30, 100_000])
+def test_all_words_have_planted_classes(spark, looked_up):
+    """Words of one length in two kinds that take turns: only clustering of every word tells a right order from a wrong one."""
+    r = random.Random(12)
+    kinds = [[f"{k}{i:04d}" for i in range(150)] for k in "ab"]
+    say = lambda first, n: " ".join(r.choices(kinds[(first + i) % 2], [40] * 10 + [1] * 140)[0] for i in range(n))
+    frame = spark.createDataFrame([(i, say(0, 40)) for i in range(500)], "doc_id bigint, text string").repartition(3)
+    model, others = class_lm.train(frame, clustered=20, classes=2, looked_up=looked_up)
+    own = {w.decode(): int(model.class_of[i]) for w, i in model.index.items() if w != class_lm.END}
+    hashed = {x["hash"]: x["class"] for x in others.collect()}
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    own |= {w: hashed[signed(xxhash.xxh64_intdigest(w, 42))] for k in kinds for w in k if w not in own}
+    assert len(own) == 300 and (looked_up > 300) == (not hashed)
+    assert {len({own[w] for w in k}) for k in kinds} == {1} and own["a0000"] != own["b0000"]
+    words = say(0, 30).split()
+    tests = spark.createDataFrame([(0, " ".join(words)), (1, " ".join(words[::2] + words[1::2]))], "doc_id bigint, text string")
+    found = {x["doc_id"]: x for x in class_lm.score(tests, model, others).collect()}
+    assert found[0]["score"] > found[1]["score"] + 10 and abs(found[0]["base_score"] - found[1]["base_score"]) < 1e-9
+
+
 def brute_removed(rows):
     order = sorted(range(len(rows)), key=lambda n: (key(rows[n][0]), n))
     seen, out = set(), {}

@@ -1,17 +1,20 @@
 """A class-based bigram language model.
 
-Words are counted over all training texts. Exchange clustering moves each
-frequent word to the class where the classes' bigrams are likeliest; every other
-word belongs to a class by its length. P(text) is the product of the
-probabilities of class after class and of word in class, both smoothed.
-
-Sizes: the clustered vocabulary and the look-up table of counts are the most
-frequent words up to two parameters, so what reaches the driver and what is
-broadcast is bounded whatever the corpus. Words outside the look-up table are
-looked up by a join, exactly.
+Words are counted over all training texts and every word has a class by exchange:
+it goes where the class bigrams are likeliest. The most frequent words are
+clustered first, one by one, on the driver. Then all words of the look-up table
+move at once, each by its counts of neighbouring classes, which are gathered and
+compared in Spark; then so do all words outside it. The number of classes grows
+with the cube root of the vocabulary. P(text) is the product of the probabilities
+of class after class and of word in class, both smoothed.
+
+Sizes: the words clustered first and the look-up table are the most frequent
+words up to two parameters, so what reaches the driver and what is broadcast is
+bounded but for the class bigrams. Words outside the look-up table leave holes in
+the row of classes of a text, which are filled by a join, exactly.
 
 Defined results: a null or empty text is its end token alone; unseen words count
-0 and have the smoothed probability of their class; without training texts all
+0 and have a class of their own; without training texts all
 counts are 0 and scores stay finite; repeated rows are scored alike; extra
 columns are ignored.
 """
@@ -31,11 +34,16 @@ from .common import map_batches, materialize
 #: A word that no text holds, as it is white space: the end of each text, and what stands before its first word.
 END = b" "
 SMOOTH = 0.1
+#: Words clustered one by one before all others follow.
 CLUSTERED = 1024
+#: Classes at least; there are as many as the cube root of the vocabulary.
 CLASSES = 32
+#: How often all words of the look-up table move.
+SWEEPS = 2
 LOOKED_UP = 400_000
 #: Longer words are never in the look-up table, which bounds its bytes.
 LONGEST = 64
+#: Lengths stand for the classes of neighbours that have none yet.
 LENGTHS = 8
 
 
@@ -86,7 +94,6 @@ def exchange(pairs: np.ndarray, fixed: np.ndarray, classes: int, *, sweeps: int
     one = np.zeros((len(pairs), m))
     one[np.arange(len(pairs)), own] = 1
     table, right, left = one.T @ pairs @ one, pairs @ one, (one.T @ pairs).T
-    xlogx = lambda x: np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
     order = np.argsort(-(pairs.sum(axis=1)[:n] + pairs.sum(axis=0)[:n]), kind="stable")
     for _ in range(sweeps):
         moved = 0
@@ -132,38 +139,136 @@ class Model:
         self.clustered = clustered
         self.symbol = np.where(np.arange(len(words)) < clustered, np.arange(len(words)), clustered + self.lengths)
 
-    def symbols(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(look-up index or -1, symbol) of each word."""
-        get = self.index.get
-        at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        out = self.symbol[at] if len(self.symbol) else np.zeros(len(words), np.int64)
-        for i in np.flatnonzero(at < 0).tolist():
-            out[i] = self.clustered + length_class(words[i])
-        return at, out
 
+def places(index: dict[bytes, int], words: list[bytes]) -> np.ndarray:
+    """The look-up index of each word, or -1."""
+    get = index.get
+    return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+
+
+def with_lengths(at: np.ndarray, words: list[bytes], of_word: np.ndarray, first: int) -> np.ndarray:
+    """of_word at the look-up indices; a word without one has the number first plus its length class."""
+    out = of_word[at] if len(of_word) else np.zeros(len(at), np.int64)
+    for i in np.flatnonzero(at < 0).tolist():
+        out[i] = first + length_class(words[i])
+    return out
+
+
+def xlogx(x: np.ndarray) -> np.ndarray:
+    return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
+
+
+def best_classes(node: np.ndarray, context: np.ndarray, n: np.ndarray, home: np.ndarray, table: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """(words, the class of each that makes the class bigrams likeliest), all others staying.
 
-def train(docs: DataFrame, *, text: str = "text", clustered: int = CLUSTERED, classes: int = CLASSES, looked_up: int = LOOKED_UP) -> tuple[Model, DataFrame]:
-    """The model of the rows of docs, and the table (word, c) of all their words."""
+    Rows are a word's counts n by context, sorted by word: the class after it, or
+    len(table) plus the class before it. home is its present class, whose counts
+    it is taken out of first; classes or more if it has none.
+    """
+    starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+    group = np.cumsum(np.r_[False, node[1:] != node[:-1]])
+    near = np.concatenate([table[:classes].T, table[:, :classes]])[context]
+    own = np.flatnonzero(home < classes)
+    near[own, home[own]] = np.maximum(near[own, home[own]] - n[own], 0)
+    gain = np.add.reduceat(xlogx(near + n[:, None]) - xlogx(near), starts, axis=0)
+    for side, sizes in ((context < len(table), table.sum(axis=1)), (context >= len(table), table.sum(axis=0))):
+        mine = np.bincount(group[side], weights=n[side], minlength=len(starts))
+        size = np.tile(sizes[:classes], (len(starts), 1))
+        at, lived = np.flatnonzero(home[starts] < classes), home[starts]
+        size[at, lived[at]] = np.maximum(size[at, lived[at]] - mine[at], 0)
+        gain -= xlogx(size + mine[:, None]) - xlogx(size)
+    best = gain.argmax(axis=1)
+    at = np.flatnonzero(home[starts] < classes)
+    stay = at[gain[at, best[at]] <= gain[at, home[starts][at]] + 1e-9]
+    best[stay] = home[starts][stay]
+    return node[starts], best
+
+
+def move(contexts: DataFrame, table: np.ndarray, classes: int, homes: np.ndarray | None = None) -> DataFrame:
+    """(node, class) of the words of contexts (node, context, n); homes are their present classes."""
+    shared = contexts.sparkSession.sparkContext.broadcast((table, homes))
+
+    def found(rows: pa.Table) -> pa.RecordBatch:
+        table, homes = shared.value
+        node, context, n = (rows.column(c).to_numpy() for c in ("node", "context", "n"))
+        home = homes[node] if homes is not None else np.full(len(node), classes)
+        word, best = best_classes(node, context, n.astype(float), home, table, classes)
+        return pa.record_batch({"node": pa.array(word), "class": pa.array(best, pa.int32())})
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            held = (pa.concat_tables([held, rows]) if held is not None else rows).combine_chunks()
+            node = held.column("node").to_numpy()
+            cut = np.flatnonzero(node[1:] != node[:-1])
+            if len(cut):  # the last word may go on in the next batch
+                yield found(held.slice(0, int(cut[-1]) + 1))
+                held = held.slice(int(cut[-1]) + 1)
+        if held is not None and held.num_rows:
+            yield found(held)
+
+    return contexts.repartition("node").sortWithinPartitions("node", "context").mapInArrow(run, "node long, class int")
+
+
+def filled(batches, far: int):
+    """(row_id, place before, class before, class, class after, c) of holes sorted by row and place; the class before of a hole next to a hole is found."""
+    last = (-1, -1, far)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        row, pos, left, right, own, c = (batch.column(x).to_numpy() for x in ("row_id", "pos", "left", "right", "class", "c"))
+        before = np.r_[last[2], own[:-1]]
+        follows = (np.r_[last[0], row[:-1]] == row) & (np.r_[last[1], pos[:-1]] == pos - 1)
+        yield row, np.where(left == far, np.where(follows, before, far), left), own, right, c
+        last = int(row[-1]), int(pos[-1]), int(own[-1])
+
+
+HOLE = "row_id long, pos int, hash long, left int, right int"
+
+
+def holes_of(row: int, words: list[bytes], at: np.ndarray, c: np.ndarray, far: int) -> list[tuple]:
+    """(row_id, pos, hash, class before, class after) of the words that the look-up table lacks; far stands for a hole beside it."""
+    after = [*c[1:].tolist(), far]
+    return [(row, i, xxhash.xxh64_intdigest(words[i], 42), int(c[i - 1]), after[i]) for i in (np.flatnonzero(at[1:] < 0) + 1).tolist()]
+
+
+def hole_arrays(holes: list[tuple]) -> dict[str, pa.Array]:
+    row, pos, value, left, right = zip(*holes, strict=True) if holes else ([],) * 5
+    signed = pa.array(np.array(value, np.uint64).view(np.int64))
+    return {"row_id": pa.array(row, pa.int64()), "pos": pa.array(pos, pa.int32()), "hash": signed, "left": pa.array(left, pa.int32()), "right": pa.array(right, pa.int32())}
+
+
+def train(
+    docs: DataFrame, *, text: str = "text", clustered: int = CLUSTERED, classes: int | None = None, looked_up: int = LOOKED_UP, sweeps: int = SWEEPS
+) -> tuple[Model, DataFrame]:
+    """The model of the rows of docs, and the table (hash, c, class) of their words that the look-up table lacks."""
     spark = docs.sparkSession
+    texts = docs.select(F.col(text).cast("string").alias("text"))
     words = materialize(word_counts(docs, text=text), "lm-words")
     size, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    classes = classes or max(CLASSES, round(distinct ** (1 / 3)))
     step = F.floor(F.log2(F.col("c")) * 8)
     short = F.octet_length("word") <= LONGEST
     least = frequent(words.where(short), looked_up)
-    table = words.where(short & (step >= least)).toPandas() if distinct else None
+    near = (short & (step >= least)) | (F.col("word") == F.lit(bytearray(END)))
+    table = words.where(near).toPandas() if distinct else None
     rows = sorted(zip(map(bytes, table["word"]), table["c"].tolist(), strict=True), key=lambda r: (r[0] != END, -r[1], r[0])) if table is not None else []
     model = Model([w for w, _ in rows], np.array([c for _, c in rows], np.float64), min(clustered, len(rows)))
     del table, rows
-    model.least, model.size, model.distinct = least, int(size), int(distinct)
+    model.size, model.distinct, model.classes = int(size), int(distinct), classes
     n = model.clustered + LENGTHS
-    shared = spark.sparkContext.broadcast(model)
+    model.shared = spark.sparkContext.broadcast(model.index)
+    lookup = model.shared
+    symbols = spark.sparkContext.broadcast((model.symbol, model.clustered))
 
     def run(batch: pa.Table) -> pa.Table:
-        own = shared.value
+        symbol, first = symbols.value
         seen = np.zeros(n * n, np.int64)
         held: list[np.ndarray] = []
         for t in batch.column("text").cast(pa.large_binary()).to_pylist():
-            _, s = own.symbols([END, *tokens(t)])
+            own = [END, *tokens(t)]
+            s = with_lengths(places(lookup.value, own), own, symbol, first)
             held.append(s[:-1] * n + s[1:])
             if len(held[-1]) > 1_000_000 or len(held) >= 2000:
                 seen += np.bincount(np.concatenate(held), minlength=n * n)
@@ -173,95 +278,158 @@ def train(docs: DataFrame, *, text: str = "text", clustered: int = CLUSTERED, cl
         at = np.flatnonzero(seen)
         return pa.table({"pair": pa.array(at), "n": pa.array(seen[at])})
 
-    pairs = map_batches(docs.select(F.col(text).cast("string").alias("text")), run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    found = pairs.toPandas()  # at most (clustered + LENGTHS) squared
-    counts = np.zeros(n * n)
-    counts[found["pair"].to_numpy(np.int64)] = found["n"].to_numpy(float)
-    counts = counts.reshape(n, n)
-    # The end token is symbol 0 and a class of its own, behind the length classes.
-    free = classes
+    def square(pairs: DataFrame, side: int) -> np.ndarray:
+        """Counts by pair as a table, of at most side squared rows."""
+        found, out = pairs.groupBy("pair").agg(F.sum("n").alias("n")).toPandas(), np.zeros(side * side)
+        out[found["pair"].to_numpy(np.int64)] = found["n"].to_numpy(float)
+        return out.reshape(side, side)
+
+    # The end token is symbol 0 and a class of its own, behind the others: classes, then length classes, then the end.
+    counts = square(map_batches(texts, run, "pair long, n long"), n)
+    of_word = classes + model.lengths
     if model.clustered:
         shuffled = np.r_[1 : model.clustered, model.clustered : n, 0]
-        fixed = np.r_[free : free + LENGTHS, free + LENGTHS]
-        found = exchange(counts[np.ix_(shuffled, shuffled)], fixed, classes)
-        of_symbol = np.concatenate([[free + LENGTHS], found, np.arange(free, free + LENGTHS)])
-    else:
-        of_symbol = np.arange(free, free + LENGTHS)
-    total = free + LENGTHS + 1
-    one = np.zeros((n, total))
-    one[np.arange(n), of_symbol] = 1
-    between = one.T @ counts @ one
-    model.class_of = of_symbol
+        fixed = np.r_[classes : classes + LENGTHS, classes + LENGTHS]
+        of_word[1 : model.clustered] = exchange(counts[np.ix_(shuffled, shuffled)], fixed, classes)
+        of_word[0] = classes + LENGTHS
+    total = classes + LENGTHS + 1
+    for sweep in range(sweeps if len(of_word) else 0):
+        first = model.clustered if sweep == 0 else 1
+        homes = spark.sparkContext.broadcast(of_word)
+
+        def around(batch: pa.Table, homes=homes, first=first) -> pa.Table:
+            keys, ns, held, pairs, length = [], [], [], np.zeros(total * total, np.int64), 0
+            texts = batch.column("text").cast(pa.large_binary()).to_pylist()
+            for number, t in enumerate(texts):
+                own = [END, *tokens(t)]
+                at = places(lookup.value, own)
+                c = with_lengths(at, own, homes.value, classes)
+                pairs += np.bincount(c[:-1] * total + c[1:], minlength=total * total) if len(own) > 5000 else 0
+                held.append((at, c, len(own) > 5000))
+                length += len(own)
+                if length > 1_000_000 or number == len(texts) - 1:
+                    small = [x[:-1] * total + x[1:] for _, x, counted in held if not counted]
+                    if small:
+                        pairs += np.bincount(np.concatenate(small), minlength=total * total)
+                    key = np.concatenate([k for a, x, _ in held for k in ((a[:-1] * 2 * total + x[1:])[a[:-1] >= first], (a[1:] * 2 * total + total + x[:-1])[a[1:] >= first])])
+                    key, many = np.unique(key, return_counts=True)
+                    keys.append(key)
+                    ns.append(many)
+                    held, length = [], 0
+            at = np.flatnonzero(pairs)
+            return pa.table({"key": pa.array(np.concatenate([*keys, -1 - at])), "n": pa.array(np.concatenate([*ns, pairs[at]]))})
+
+        gathered = materialize(map_batches(texts, around, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "lm-contexts")
+        between = square(gathered.where("key < 0").select((-1 - F.col("key")).alias("pair"), "n"), total)
+        contexts = gathered.where("key >= 0").select(F.expr(f"key div {2 * total}").alias("node"), F.expr(f"key % {2 * total}").alias("context"), "n")
+        moved = move(contexts, between, classes, of_word).toPandas()
+        of_word = of_word.copy()
+        of_word[moved["node"].to_numpy(np.int64)] = moved["class"].to_numpy(np.int64)
+    # From here on: classes, then that of unseen words, which also stands for holes, then the end.
+    far, total = classes, classes + 2
+    of_word[:1] = classes + 1
+    model.class_of = np.r_[of_word, far]
+    of_class = spark.sparkContext.broadcast(model.class_of)
+
+    def hollow(batch: pa.Table) -> pa.Table:
+        holes, pairs = [], np.zeros(total * total, np.int64)
+        for row, t in zip(batch.column("row_id").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist(), strict=True):
+            own = [END, *tokens(t)]
+            at = places(lookup.value, own)
+            c = of_class.value[at]
+            np.add.at(pairs, c[:-1] * total + c[1:], 1)
+            holes += holes_of(row, own, at, c, far)
+        at = np.flatnonzero(pairs)
+        out = pa.table(hole_arrays(holes)).append_column("n", pa.array([None] * len(holes), pa.int64()))
+        known = {"row_id": pa.nulls(len(at), pa.int64()), "pos": pa.nulls(len(at), pa.int32()), "hash": pa.nulls(len(at), pa.int64())}
+        known |= {"left": pa.array(at // total, pa.int32()), "right": pa.array(at % total, pa.int32()), "n": pa.array(pairs[at])}
+        return pa.concat_tables([out, pa.table(known)])
+
+    numbered = texts.select(F.monotonically_increasing_id().alias("row_id"), "text")
+    found = materialize(map_batches(numbered, hollow, f"{HOLE}, n long"), "lm-holes")
+    holes = found.where("n is null").drop("n")
+    between = square(found.where("n is not null").select((F.col("left").cast("long") * total + F.col("right")).alias("pair"), "n"), total)
+    sides = holes.select(F.col("hash").alias("node"), F.explode(F.array(F.col("right").cast("long"), F.col("left").cast("long") + total)).alias("context"))
+    gone = move(sides.groupBy("node", "context").agg(F.count(F.lit(1)).alias("n")), between, classes)
+    others = words.where(~near).select(F.xxhash64("word").alias("hash"), "c").groupBy("hash").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("kinds"))
+    others = materialize(others.join(gone.withColumnRenamed("node", "hash"), "hash"), "lm-others")
+    between[far], between[:, far] = 0, 0
+
+    def fill(batches):
+        for row, left, own, right, _ in filled(batches, far):
+            keys = np.concatenate([left.astype(np.int64) * total + own, (own.astype(np.int64) * total + right)[right != far]])
+            key, many = np.unique(keys, return_counts=True)
+            yield pa.record_batch({"pair": pa.array(key), "n": pa.array(many)})
+
+    placed = holes.join(others.select("hash", "class", "c"), "hash").repartition("row_id").sortWithinPartitions("row_id", "pos")
+    between += square(placed.mapInArrow(fill, "pair long, n long"), total)
     model.next = np.log10((between + SMOOTH) / (between.sum(axis=1, keepdims=True) + SMOOTH * total))
-    # Tokens and distinct words of each class: of clustered words from the look-up table, of the rest from all words.
-    heads = np.bincount(of_symbol[: model.clustered], weights=model.counts[: model.clustered], minlength=total) if model.clustered else np.zeros(total)
-    kinds = np.bincount(of_symbol[: model.clustered], minlength=total).astype(float) if model.clustered else np.zeros(total)
-    by_length = F.floor(F.least(F.octet_length("word"), F.lit(2 * LENGTHS - 1)) / 2).cast("int")
-    for r in words.groupBy(by_length.alias("l")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")).collect():
-        own = model.lengths[: model.clustered] == r["l"]
-        heads[free + r["l"]] += r["c"] - model.counts[: model.clustered][own].sum()
-        kinds[free + r["l"]] += r["n"] - own.sum()
+    # Tokens and distinct words of each class.
+    heads = np.bincount(of_word, weights=model.counts, minlength=total).astype(float)
+    kinds = np.bincount(of_word, minlength=total).astype(float)
+    for r in others.groupBy("class").agg(F.sum("c").alias("c"), F.sum("kinds").alias("n")).collect():
+        heads[r["class"]] += r["c"]
+        kinds[r["class"]] += r["n"]
     model.mass = heads + SMOOTH * (kinds + 1)
     model.base_mass = model.size + SMOOTH * (model.distinct + 1)
-    return model, words
+    return model, others
 
 
-def score(docs: DataFrame, model: Model, words: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, others: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every row, whole texts."""
     kind = docs.schema[doc_id].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    lookup, far = model.shared, model.classes
+    emit = np.log10((np.r_[model.counts, 0] + SMOOTH) / model.mass[model.class_of])
+    base = np.log10((np.r_[model.counts, 0] + SMOOTH) / model.base_mass)
+    # A hole adds nothing until it is filled.
+    following = np.where((np.arange(len(model.next)) == far)[:, None] | (np.arange(len(model.next)) == far)[None, :], 0, model.next)
+    shared = docs.sparkSession.sparkContext.broadcast((model.class_of, emit, base, following))
+    small = docs.sparkSession.sparkContext.broadcast((model.next, model.mass, model.base_mass))
 
     def run(table: pa.Table) -> pa.Table:
-        m = shared.value
-        emit = np.log10((m.counts + SMOOTH) / m.mass[m.class_of[m.symbol]]) if len(m.counts) else np.zeros(1)
-        base = np.log10((m.counts + SMOOTH) / m.base_mass) if len(m.counts) else np.zeros(1)
+        class_of, emit, base, following = shared.value
         ids, rows = table.column("row_id").to_pylist(), []
-        rare: list[tuple] = []
+        holes: list[tuple] = []
         for row, t in zip(ids, table.column("text").cast(pa.large_binary()).to_pylist(), strict=True):
             own = [END, *tokens(t)]
-            at, s = m.symbols(own)
-            c = m.class_of[s]
-            known = at[1:] >= 0
-            k = at[1:][known]
-            rows.append((row, len(own) - 1, len(k), float(base[k].sum()), float(m.next[c[:-1], c[1:]].sum() + emit[k].sum())))
-            far = np.flatnonzero(~known)
-            if len(far):
-                for w, n in Counter(own[i + 1] for i in far.tolist()).items():
-                    rare.append((row, xxhash.xxh64_intdigest(w, 42), length_class(w), n))
-        number = [r[0] for r in rows] + [r[0] for r in rare]
-        empty = [None] * len(rare)
-        return pa.table(
-            {
-                "row_id": pa.array(number, pa.int64()),
-                "doc_id": pa.chunked_array([*table.column("doc_id").chunks, pa.nulls(len(rare), table.column("doc_id").type)]),
-                "n_tokens": pa.array([r[1] for r in rows] + empty, pa.int64()),
-                "n_known": pa.array([r[2] for r in rows] + empty, pa.int64()),
-                "base_score": pa.array([r[3] for r in rows] + empty, pa.float64()),
-                "score": pa.array([r[4] for r in rows] + empty, pa.float64()),
-                "hash": pa.array(np.array([0] * len(rows) + [r[1] for r in rare], np.uint64).view(np.int64)),
-                "length": pa.array([None] * len(rows) + [r[2] for r in rare], pa.int32()),
-                "n": pa.array([None] * len(rows) + [r[3] for r in rare], pa.int64()),
-            }
-        )
+            at = places(lookup.value, own)
+            c = class_of[at]
+            k = at[1:][at[1:] >= 0]
+            rows.append((row, len(own) - 1, len(k), float(base[k].sum()), float(following[c[:-1], c[1:]].sum() + emit[k].sum())))
+            holes += holes_of(row, own, at, c, far)
+        empty = [None] * len(holes)
+        out = {
+            "doc_id": pa.chunked_array([*table.column("doc_id").chunks, pa.nulls(len(holes), table.column("doc_id").type)]),
+            "n_tokens": pa.array([r[1] for r in rows] + empty, pa.int64()),
+            "n_known": pa.array([r[2] for r in rows] + empty, pa.int64()),
+            "base_score": pa.array([r[3] for r in rows] + empty, pa.float64()),
+            "score": pa.array([r[4] for r in rows] + empty, pa.float64()),
+        }
+        held = hole_arrays(holes)
+        for name, own in held.items():
+            lead = pa.array([r[0] for r in rows], pa.int64()) if name == "row_id" else pa.nulls(len(rows), own.type)
+            out[name] = pa.concat_arrays([lead, own])
+        return pa.table(out).select(["row_id", "doc_id", "n_tokens", "n_known", "base_score", "score", "pos", "hash", "left", "right"])
 
     source = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    schema = f"row_id long, doc_id {kind}, n_tokens long, n_known long, base_score double, score double, hash long, length int, n long"
+    schema = f"row_id long, doc_id {kind}, n_tokens long, n_known long, base_score double, score double, pos int, hash long, left int, right int"
     out = materialize(map_batches(source, run, schema), "lm-scores")
-    whole, rare = out.where("n is null").drop("hash", "length", "n"), out.where("n is not null").select("row_id", "hash", "length", "n")
-    step = F.floor(F.log2(F.col("c")) * 8)
-    others = words.where(~((F.octet_length("word") <= LONGEST) & (step >= model.least)))
-    others = others.select(F.xxhash64("word").alias("hash"), "c").groupBy("hash").agg(F.sum("c").alias("c"))
-    c = F.coalesce("c", F.lit(0))
-    masses = F.array(*[F.lit(float(x)) for x in model.mass[-LENGTHS - 1 : -1]])
-    rare = rare.join(others, "hash", "left").select(
-        "row_id",
-        F.when(c > 0, F.col("n")).otherwise(0).alias("known"),
-        (F.col("n") * F.log10((c + SMOOTH) / F.lit(model.base_mass))).alias("b"),
-        (F.col("n") * F.log10((c + SMOOTH) / F.element_at(masses, F.col("length") + 1))).alias("s"),
-    )
+    whole, rare = out.where("pos is null").select("row_id", "doc_id", "n_tokens", "n_known", "base_score", "score"), out.where("pos is not null").select("row_id", "pos", "hash", "left", "right")
+
+    def fill(batches):
+        following, mass, base_mass = small.value
+        for row, left, own, right, c in filled(batches, far):
+            s = following[left, own] + np.where(right == far, 0, following[own, right]) + np.log10((c + SMOOTH) / mass[own])
+            b = np.log10((c + SMOOTH) / base_mass)
+            starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+            known = np.add.reduceat((c > 0).astype(np.int64), starts)
+            yield pa.record_batch({"row_id": pa.array(row[starts]), "known": pa.array(known), "b": pa.array(np.add.reduceat(b, starts)), "s": pa.array(np.add.reduceat(s, starts))})
+
+    rare = rare.join(others.select("hash", "class", "c"), "hash", "left").drop("hash")
+    rare = rare.withColumns({"class": F.coalesce("class", F.lit(far)), "c": F.coalesce("c", F.lit(0))})
+    rare = rare.repartition("row_id").sortWithinPartitions("row_id", "pos").mapInArrow(fill, "row_id long, known long, b double, s double")
     sums = rare.groupBy("row_id").agg(F.sum("known").alias("known"), F.sum("b").alias("b"), F.sum("s").alias("s"))
     add = lambda a, b: (F.col(a) + F.coalesce(b, F.lit(0)))
     return whole.join(sums, "row_id", "left").select(
         "doc_id", "n_tokens", add("n_known", "known").cast("long").alias("n_known"), add("base_score", "b").alias("base_score"), add("score", "s").alias("score")
     )
-
