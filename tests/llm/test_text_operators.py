@@ -348,6 +348,17 @@ def test_line_links(spark, block):
     assert len(found) > 20
 
 
+@pytest.mark.parametrize("block", [512, 3])
+def test_short_line_links(spark, block):
+    r = random.Random(10)
+    lines = {"".join(r.choice("abcé") for _ in range(r.choice([1, 2, 3, 4, 5, 7, 12, 20, 39]))) for _ in range(120)} | {"Antion ered.", "Retion ered.", "x", "yz"}
+    signed = {h - (1 << 64) if h >> 63 else h: x for x in lines for h in [xxhash.xxh64_intdigest(x, 42)]}
+    table = spark.createDataFrame([(x,) for x in sorted(lines)], "text string").repartition(3)
+    found = {(x["a"], x["b"]) for x in line_dedup.edit_links(table, block=block).collect()}
+    keys = sorted(signed)
+    assert found == {(a, b) for n, a in enumerate(keys) for b in keys[n + 1 :] if brute_edits(signed[a], signed[b]) <= line_dedup.MAX_EDITS}
+
+
 def test_edit_distance():
     r = random.Random(9)
     for _ in range(3000):

@@ -7,10 +7,10 @@ segment) and probe, for each length they may meet, the few substrings that the
 position and length difference leave possible. Lines that meet are verified by
 a bit-parallel edit distance within the band, in blocks.
 
-Equal lines are one node, so copies are never paired. A line too short for the
-segments to select anything (fewer than MIN_CHARS) links to equal lines only. A
-key under which many lines meet is cut into blocks that are compared block by
-block.
+Equal lines are one node, so copies are never paired. A line of MAX_EDITS
+characters or fewer has an empty segment, which every line of a length that it
+may link to holds: such lines are all compared. A key under which many lines
+meet is cut into blocks that are compared block by block.
 
 Defined results: a null text has no lines; white space at the ends of a line is
 not compared and an empty line is never a duplicate; of ties the line that comes
@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from .common import WHITE, materialize, row_keyed, text_or_empty
 
 MAX_EDITS = 2
-#: Lines of fewer characters are compared for equality only: their segments would be a few letters.
-MIN_CHARS = 40
+#: Lines of fewer characters are compared for equality only: 1 leaves out none, as an empty line is never compared.
+MIN_CHARS = 1
 BLOCK = 512
 #: Up to so many lines that meet another are broadcast, by their 8-byte hashes, to pick their texts; beyond it they are joined by shuffle.
 BROADCAST_NODES = 200_000
