@@ -382,6 +382,20 @@ def test_line_fates(spark, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_line_classes(spark, empty):
+    a, b, c = "a line that others are near to", "a line that others are near 2", "a lone that ethers are near 2"
+    rows = [(1, f"{a}\nquite another line"), (2, f"\n{b}\n{a}"), (3, c), (4, None), (None, "\n ")]
+    found = line_dedup.per_document(line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)))
+    found = {r["doc_id"]: [tuple(x) for x in r["lines"]] for r in found.collect()}
+    signed = lambda x: int(np.uint64(xxhash.xxh64_intdigest(x, 42)).astype(np.int64))
+    assert brute_edits(a, b) == brute_edits(b, c) == 2 and brute_edits(a, c) == 4
+    other, least = signed("quite another line"), min(map(signed, (a, b, c)))
+    assert found[1] == [(0, signed(a), least, 1), (1, other, other, 0)]
+    assert found[2] == [(1, signed(b), least, 2), (2, signed(a), least, 1)]
+    assert found[3] == [(0, signed(c), least, 1)] and found[4] == found[None] == []
+    assert line_dedup.per_document(line_dedup.dedup_lines(empty)).count() == 0
+
+
 def test_html(spark):
     article = "<article><h1>Ti &amp; tle</h1><p><b>Body  text\n here<br><p>more</article>"
     menu = "<div class=x><ul><li><a href=/a>Go there</a></ul></div>"

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WHITE, materialize, row_keyed, text_or_empty
+from .simhash_dedup import components
 
 MAX_EDITS = 2
 #: Lines of fewer characters are compared for equality only: 1 leaves out none, as an empty line is never compared.
@@ -229,10 +230,12 @@ def edit_links(docs: DataFrame, *, text: str = "text", edits: int = MAX_EDITS, m
 
 
 def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", row_id: str | None = None, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """What becomes of every line: row_id, doc_id, line_no, line_id, n_links, duplicate; an empty line has no line_id.
+    """What becomes of every line: row_id, doc_id, line_no, line_id, class_id, n_links, duplicate; an empty line has no line_id and no class_id.
 
-    line_id names the line's text; n_links is how many other texts it links to;
-    duplicate is true unless no equal or linked line comes before it.
+    line_id names the line's text; class_id is the smallest line_id of the
+    component of links that the line is in, its own without a link; n_links is
+    how many other texts it links to; duplicate is true unless no equal or linked
+    line comes before it.
     """
     number = (F.col(row_id) if row_id else F.monotonically_increasing_id()).alias("row_id")
     node = F.when(F.col("line").isNotNull(), F.xxhash64("line")).alias("node")
@@ -243,18 +246,25 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     links = materialize(edit_links(docs, text=text, edits=edits, min_chars=min_chars), "line-links")
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     around = both.join(starts.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.count(F.lit(1)).alias("n_links"), F.min("first").alias("before"))
-    fates = starts.join(around.withColumnRenamed("a", "node"), "node", "left")
-    fates = materialize(fates.select("node", "first", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce(F.col("before") < F.col("first"), F.lit(False)).alias("later")), "line-fates")
+    fates = starts.join(around.withColumnRenamed("a", "node"), "node", "left").join(components(links), "node", "left")
+    fates = materialize(fates.select("node", F.coalesce("root", "node").alias("class_id"), "first", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce(F.col("before") < F.col("first"), F.lit(False)).alias("later")), "line-fates")
     joined = lines.join(fates, "node", "left")
     opening = (F.col("row_id") == F.col("first.row_id")) & (F.col("line_no") == F.col("first.line_no"))
     duplicate = F.col("node").isNotNull() & (F.col("later") | ~opening)
-    return joined.select("row_id", "doc_id", "line_no", F.col("node").alias("line_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), duplicate.alias("duplicate"))
+    return joined.select("row_id", "doc_id", "line_no", F.col("node").alias("line_id"), "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), duplicate.alias("duplicate"))
 
 
 def per_document(fates: DataFrame) -> DataFrame:
-    """doc_id, n_lines (that are not empty), n_duplicates and n_links (of its lines, summed) of every document."""
+    """doc_id, n_lines (that are not empty), n_duplicates, n_links (of its lines, summed) and lines of every document.
+
+    lines holds line_no, line_id, class_id and n_links of each line that is not
+    empty, in order; lines of one class_id are of one class, in whatever document.
+    """
     some = F.col("line_id").isNotNull()
-    sums = fates.groupBy("row_id", "doc_id").agg(F.count_if(some).alias("n_lines"), F.count_if("duplicate").alias("n_duplicates"), F.sum("n_links").cast("long").alias("n_links"))
+    line = F.when(some, F.struct("line_no", "line_id", "class_id", "n_links"))
+    sums = fates.groupBy("row_id", "doc_id").agg(
+        F.count_if(some).alias("n_lines"), F.count_if("duplicate").alias("n_duplicates"), F.sum("n_links").cast("long").alias("n_links"), F.array_sort(F.collect_list(line)).alias("lines")
+    )
     return sums.drop("row_id")
 
 
