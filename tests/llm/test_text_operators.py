@@ -409,3 +409,12 @@ def test_html(spark):
     assert found[20] == "Go there\nkept <b>"
     assert found[30] == "" and found[31] == "" and found[32] == "a" and found[33] == "m"
     assert html_text.extract(table.limit(0)).count() == 0
+
+
+def test_html_templates_in_articles(spark):
+    note = "<div class=x><p>Read our terms of use before you go on.</p></div>"
+    rows = [(i, "http://a.example/p", f"<main><h1>Title {i}</h1><div><p>Text number {i}</p></div>{note}</main>") for i in range(6)]
+    rows += [(10 + i, "http://b.example/p", f"<nav>{i}</nav><article><p>One article</p><p>on many pages</p></article>") for i in range(6)]
+    found = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)).collect()}
+    assert [found[i] for i in range(6)] == [f"Title {i}\nText number {i}" for i in range(6)]
+    assert {found[10 + i] for i in range(6)} == {"One article\non many pages"}

@@ -5,8 +5,9 @@ elements around it. Hashes are counted per host, by pages; a container that
 recurs on many pages of its host is the site's template, and its blocks go.
 What the elements themselves tell counts as well: menus, forms, scripts and the
 like never hold the article, and where a page marks its article, only blocks of
-it are taken and a container is template only if it holds mostly links, since
-an article may be published more than once.
+it are taken. Containers in it are counted like all others; the marked element
+itself is template only if it holds mostly links, since an article may be
+published more than once.
 
 Defined results: null or empty html gives an empty text; a null url is a host of
 its own; unclosed, misnested or cut off markup is read as far as it goes;
@@ -51,10 +52,11 @@ SPACE = re.compile(r"[\x20\x09-\x0D\xa0]+")
 
 
 class Element:
-    __slots__ = ("article", "dropped", "first", "linked", "name", "size")
+    __slots__ = ("article", "dropped", "first", "linked", "name", "root", "size")
 
     def __init__(self, name: str, dropped: bool, article: bool, first: int):
         self.name, self.dropped, self.article, self.first = name, dropped, article, first
+        self.root = article and name in ("article", "main")
         self.size = self.linked = 0
 
 
@@ -103,7 +105,7 @@ def read(page: str | None) -> tuple[list[str], list[list[int]], list[bool], list
         if element.name in CONTAINERS and element.size:
             value = xxhash.xxh64_intdigest("\0".join([element.name, *parts[element.first :]])) - (1 << 63)
             every.append(value)
-            if not element.article or 2 * element.linked >= element.size:
+            if not element.root or 2 * element.linked >= element.size:
                 start = spans.pop(id(element), len(blocks))
                 for i in range(start, len(blocks)):
                     around[i].append(value)
