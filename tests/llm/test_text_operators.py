@@ -418,3 +418,17 @@ def test_html_templates_in_articles(spark):
     found = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)).collect()}
     assert [found[i] for i in range(6)] == [f"Title {i}\nText number {i}" for i in range(6)]
     assert {found[10 + i] for i in range(6)} == {"One article\non many pages"}
+
+
+def test_html_templates_are_a_share_of_different_pages(spark):
+    menu = "<div><p>Go there or elsewhere</p></div>"
+    rows = [(i, "http://copies.example/p", "<body><div><p>The whole text</p></div>") for i in range(6)]
+    rows += [(10 + i, "http://small.example/p", f"<body>{menu}<p>Page {i}</p>") for i in range(4)]
+    rows += [(20 + i, "http://syndicated.example/p", f"<nav>{i}</nav><main><section>Side {i}</section><article><div>One article</div></article></main>") for i in range(6)]
+    quote = "<div>A quote</div>"
+    rows += [(1000 + i, "http://large.example/p", f"<body>{menu}<p>Page {i}</p>{quote if i < 6 else ''}") for i in range(700)]
+    found = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)).collect()}
+    assert {found[i] for i in range(6)} == {"The whole text"}
+    assert [found[10 + i] for i in range(4)] == [f"Page {i}" for i in range(4)]
+    assert [found[20 + i] for i in range(6)] == [f"Side {i}\nOne article" for i in range(6)]
+    assert [found[1000 + i] for i in range(700)] == [f"Page {i}" + "\nA quote" * (i < 6) for i in range(700)]

@@ -1,8 +1,11 @@
 """Main text of web pages by removal of site templates.
 
 A page is read into blocks of text, each with the hashes of the container
-elements around it. Hashes are counted per host, by pages; a container that
-recurs on many pages of its host is the site's template, and its blocks go.
+elements around it. Hashes are counted per host, by different pages; a container
+that recurs on a share of the pages of its host is the site's template, and its
+blocks go. Pages of equal content count once, and a container in a marked article
+counts once for each article that it is in, so copies of a text don't make it a
+template.
 What the elements themselves tell counts as well: menus, forms, scripts and the
 like never hold the article, and where a page marks its article, only blocks of
 it are taken. Containers in it are counted like all others; the marked element
@@ -11,7 +14,7 @@ published more than once.
 
 Defined results: null or empty html gives an empty text; a null url is a host of
 its own; unclosed, misnested or cut off markup is read as far as it goes;
-repeated pages count as pages; no block is dropped for its length. Extra columns
+a host of one or two different pages has no template; no block is dropped for its length. Extra columns
 are ignored.
 """
 
@@ -27,8 +30,10 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, materialize
 
-#: A container is template if it is on so many pages of its host.
+#: A container is template if it is on so many different pages of its host, or on all of them where there are fewer but three at least, ...
 MIN_PAGES = 5
+#: ... and on this share of them.
+SHARE = 0.01
 # How elements are treated.
 DROPPED = frozenset("script style noscript template iframe object svg canvas head nav footer aside form button select option textarea input menu dialog audio video map".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
@@ -52,11 +57,12 @@ SPACE = re.compile(r"[\x20\x09-\x0D\xa0]+")
 
 
 class Element:
-    __slots__ = ("article", "dropped", "first", "linked", "name", "root", "size")
+    __slots__ = ("article", "dropped", "first", "linked", "name", "pending", "root", "size")
 
     def __init__(self, name: str, dropped: bool, article: bool, first: int):
         self.name, self.dropped, self.article, self.first = name, dropped, article, first
         self.root = article and name in ("article", "main")
+        self.pending: list[int] = []  # hashes of the containers of an article
         self.size = self.linked = 0
 
 
@@ -75,12 +81,16 @@ def boilerplate(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def read(page: str | None) -> tuple[list[str], list[list[int]], list[bool], list[int]]:
-    """(blocks, hashes of the containers around each, whether each is in an article, hashes of all containers of the page)."""
+def read(page: str | None) -> tuple[list[str], list[list[int]], list[bool], list[tuple[int | None, int]]]:
+    """(blocks, hashes of the containers around each, whether each is in an article, (hash, hash of the content that it counts for) of the containers of the page).
+
+    A container counts for the innermost marked article around it, else for the
+    page; the page itself is told by a hash of None.
+    """
     blocks: list[str] = []
     around: list[list[int]] = []
     inside: list[bool] = []
-    every: list[int] = []
+    every: list[tuple[int | None, int]] = []
     if not page:
         return blocks, around, inside, every
     stack = [Element("", False, False, 0)]
@@ -104,8 +114,10 @@ def read(page: str | None) -> tuple[list[str], list[list[int]], list[bool], list
         stack[-1].linked += element.linked
         if element.name in CONTAINERS and element.size:
             value = xxhash.xxh64_intdigest("\0".join([element.name, *parts[element.first :]])) - (1 << 63)
-            every.append(value)
+            every.extend((x, value) for x in element.pending)
             if not element.root or 2 * element.linked >= element.size:
+                around_it = next((e for e in reversed(stack) if e.root), stack[0]) if element.article and not element.root else stack[0]
+                around_it.pending.append(value)
                 start = spans.pop(id(element), len(blocks))
                 for i in range(start, len(blocks)):
                     around[i].append(value)
@@ -183,6 +195,8 @@ def read(page: str | None) -> tuple[list[str], list[list[int]], list[bool], list
     flush()
     while len(stack) > 1:
         pop()
+    content = xxhash.xxh64_intdigest("\0".join(parts)) - (1 << 63)
+    every.extend((x, content) for x in (None, *stack[0].pending))
     return blocks, around, inside, every
 
 
@@ -191,33 +205,37 @@ def host_of(url: str = "url") -> Column:
 
 
 def page_blocks(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """page_id, url, host, blocks (text, article, hashes) and the hashes of all containers of every row."""
+    """page_id, url, host, blocks (text, article, hashes) and the counted containers (hash, content) of every row."""
     kinds = {c: pages.schema[c].dataType.simpleString() for c in (page_id, url)}
-    schema = f"row_id long, page_id {kinds[page_id]}, url {kinds[url]}, host string, blocks array<struct<text: string, article: boolean, hashes: array<long>>>, hashes array<long>"
+    schema = f"row_id long, page_id {kinds[page_id]}, url {kinds[url]}, host string, blocks array<struct<text: string, article: boolean, hashes: array<long>>>, counted array<struct<hash: long, content: long>>"
 
     def run(table: pa.Table) -> pa.Table:
         found = [read(h) for h in table.column("html").to_pylist()]
         rows = [[{"text": t, "article": i, "hashes": sorted(set(a))} for t, a, i in zip(b, around, inside, strict=True)] for b, around, inside, _ in found]
         kind = pa.list_(pa.struct([("text", pa.string()), ("article", pa.bool_()), ("hashes", pa.list_(pa.int64()))]))
-        every = pa.array([sorted(set(e)) for *_, e in found], pa.list_(pa.int64()))
-        return table.drop_columns(["html"]).append_column("blocks", pa.array(rows, kind)).append_column("hashes", every)
+        every = pa.array([[{"hash": h, "content": c} for h, c in set(e)] for *_, e in found], pa.list_(pa.struct([("hash", pa.int64()), ("content", pa.int64())])))
+        return table.drop_columns(["html"]).append_column("blocks", pa.array(rows, kind)).append_column("counted", every)
 
     own = pages.select(F.monotonically_increasing_id().alias("row_id"), F.col(page_id).alias("page_id"), F.col(url).alias("url"), host_of(url).alias("host"), F.col(html).cast("string").alias("html"))
     return map_batches(own, run, schema)
 
 
-def templates(read_pages: DataFrame, *, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, hash) of containers on min_pages pages of a host or more; a page counts a hash once, and counts are summed before the shuffle."""
-    seen = read_pages.select("host", F.explode("hashes").alias("hash"))
-    return seen.groupBy("host", "hash").count().where(F.col("count") >= min_pages).select("host", "hash")
+def templates(read_pages: DataFrame, *, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
+    """(host, hash) of containers on enough different pages of a host."""
+    seen = read_pages.select("host", F.inline("counted")).distinct()
+    counts = seen.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where("hash is null or n >= 3 or n >= " + str(int(min_pages)))
+    counts = materialize(counts, "html-counts")
+    pages = counts.where("hash is null").select("host", F.col("n").alias("pages"))
+    enough = F.greatest(F.least(F.lit(min_pages), F.greatest("pages", F.lit(3))), F.lit(share) * F.col("pages"))
+    return counts.where("hash is not null").join(pages, "host").where(F.col("n") >= enough).select("host", "hash")
 
 
-def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
+def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
     """page_id, url and text of every row of pages, and how many blocks were template."""
     found = page_blocks(pages, page_id=page_id, url=url, html=html)
-    site = materialize(templates(found.select("host", "hashes"), min_pages=min_pages), "html-templates")
+    site = materialize(templates(found.select("host", "counted"), min_pages=min_pages, share=share), "html-templates")
     marked = F.exists("blocks", lambda b: b["article"])
-    main = found.withColumn("blocks", F.when(marked, F.filter("blocks", lambda b: b["article"])).otherwise(F.col("blocks"))).drop("hashes")
+    main = found.withColumn("blocks", F.when(marked, F.filter("blocks", lambda b: b["article"])).otherwise(F.col("blocks"))).drop("counted")
     within = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["hashes"])))
     text = lambda c: F.array_join(F.transform(c, lambda b: b["text"]), "\n").alias("text")
     # A page none of whose main blocks lies in a container that could be template is done; reading it again costs less than keeping it.
