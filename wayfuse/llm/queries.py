@@ -2,24 +2,21 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, class_lm, exact_dedup, html_text, line_dedup, mixing, passage_dedup, quality_classifier, simhash_dedup, weak_rules
 from .common import in_fold
 
-#: Folder of the public tokenizers' files.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vocabulary() -> str:
-    return f"{TOKENIZERS}/byte_bpe_50k.json"
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """The path of a public tokenizer's file."""
+    return public_tokenizers.path(name)
 
 
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,8 +88,7 @@ def op8_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model, words = class_lm.train(docs.where(~in_fold(10)))
-    scored = class_lm.score(docs, model, words)
+    model, scored = class_lm.train_and_score(docs, in_fold(10))
     return scored.select("doc_id", in_fold(10).alias("held_out"), "n_tokens", "n_known", F.lit(model.size).cast("long").alias("train_tokens"), "base_score", "score")
 
 
