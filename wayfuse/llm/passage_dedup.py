@@ -6,18 +6,26 @@ and windows with equal bytes have theirs at the same place. Triggers cut the
 corpus into phrases: all bytes of the windows of one trigger. The distinct
 phrases are the dictionary, their occurrences in corpus order the parse.
 
-An occurrence of a phrase that is in the parse before is covered whole. Of first
-occurrences, only phrases whose trigger is shared by another phrase can have
-windows in common with it; their windows are the dictionary's suffixes, compared
-by their first WIDTH bytes in corpus order, trigger by trigger; a 128-bit hash
-stands for the bytes. Nothing beyond WIDTH bytes is ever compared, so the order of longer
-suffixes, which suffix arrays of the whole dictionary and parse would give, is
-left out; what is equal and which comes first is the same.
-
-Phrases and windows are collapsed within each batch before the shuffle, so a
-passage with many copies sends one row a batch. Sorted partitions are read as
-streams; of a trigger with many different phrases the windows are dealt out by
-content instead of being held, so no group has to fit memory.
+No window crosses the end of a phrase, so of the suffix array of the parse only
+the order by first phrase is needed, and within it corpus order: the occurrences
+sorted by (trigger, phrase, document, place). A phrase that occurs before is
+covered whole; first occurrences make up the dictionary.
+
+Two windows of WIDTH bytes with one trigger share NEAR bytes on one side of it.
+Phrases that share these bytes with no other phrase of their trigger hold no
+repeated window. The others are brought together by trigger and side, whole
+groups at a time, and the suffix array of this part of the dictionary is built
+by prefix doubling up to WIDTH bytes. Suffixes that agree in so many are
+neighbours in it; of each run the one that is first in corpus order, as the parse
+has it, stays, and the windows of all others are covered. Bytes are compared, not
+hashes of them.
+
+Phrases are collapsed within each batch before the shuffle, so a passage with
+many copies sends one row a batch. Sorted partitions are read as streams; where
+very many different phrases share trigger and side, their windows are dealt out
+by content, of which a 128-bit hash then stands for the bytes, so no group has to
+fit memory and no task gets such a group. Long texts are parsed in pieces; a
+phrase that is cut by that is compared by its windows like any other.
 
 Defined results: a null or empty text has no bytes and nothing removed; texts
 shorter than WIDTH lose nothing; a null id comes after all others; rows that
@@ -38,6 +46,10 @@ from .common import materialize, text_or_empty
 
 WIDTH = 100
 GRAM = 16
+#: Bytes beside the trigger, on the side where the window has more.
+NEAR = (WIDTH - GRAM) // 2
+#: Windows of a text that are parsed at once.
+PIECE = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -56,10 +68,23 @@ def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
     return h
 
 
-def phrases(data: np.ndarray, width: int = WIDTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(trigger hash, first window, last window) of every phrase; window p is data[p : p + width]."""
+def mixed(*hashes: np.ndarray) -> np.ndarray:
+    """32 bits of several hashes."""
+    out = np.zeros(len(hashes[0]), np.uint64)
+    with np.errstate(over="ignore"):
+        for h in hashes:
+            out = (out ^ h) * _ODD
+            out ^= out >> np.uint64(31)
+    return (out >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def phrases(data: np.ndarray, width: int = WIDTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """(trigger hash, place of the trigger, first window, last window, hash of what is right of the trigger, and left) of every phrase; window p is data[p : p + width].
+
+    A side's hash means nothing where no window has NEAR bytes on it.
+    """
     if len(data) < width:
-        return np.array([], np.uint64), np.array([], np.int64), np.array([], np.int64)
+        return (np.array([], np.uint64), *(np.array([], np.int64) for _ in range(3)), *(np.array([], np.int32) for _ in range(2)))
     h = gram_hashes(data, gram)
     low = (h & ~np.uint64(0xFFFFFFFF)) | np.arange(len(h), dtype=np.uint64)  # the leftmost of equal ones is the lowest
     span, have = width - gram + 1, 1
@@ -71,54 +96,61 @@ def phrases(data: np.ndarray, width: int = WIDTH, gram: int = GRAM) -> tuple[np.
     at = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
     cuts = np.flatnonzero(at[1:] != at[:-1])
     first, last = np.concatenate(([0], cuts + 1)), np.concatenate((cuts, [len(at) - 1]))
-    return h[at[first]], first, last
+    t, end = at[first], len(h) - 1
+    right = mixed(*(h[np.minimum(t + x, end)] for x in (gram, 2 * gram, NEAR)))
+    left = mixed(*(h[np.maximum(t - x, 0)] for x in (gram, 2 * gram, NEAR)))
+    return h[t], t, first, last, right, left
 
 
 class Rows:
-    """Occurrences (group, content, doc, first, last) as columns."""
+    """Occurrences (group, content, doc, first, last, sides) as columns."""
 
-    NAMES = ("g", "c", "doc", "a", "b")
+    NAMES = ("g", "c", "doc", "a", "b", "t", "r", "l")
 
-    def __init__(self, *columns: np.ndarray):
-        self.columns = [np.concatenate(c) if isinstance(c, list) and c else np.array(c, np.int64) for c in columns]
+    def __init__(self, columns: list[list[np.ndarray]]):
+        self.columns = [np.concatenate(c) for c in columns]
 
     def batch(self) -> pa.RecordBatch:
         """First occurrences in this batch as they are; others without content, which marks them as covered, dealt out by document."""
-        g, c, doc, a, b = self.columns
+        g, c, doc, a, *rest = self.columns
         order = np.lexsort((a, doc, c, g))
-        g, c, doc, a, b = (x[order] for x in (g, c, doc, a, b))
+        g, c, doc, a, *rest = (x[order] for x in (g, c, doc, a, *rest))
         again = np.zeros(len(g), bool)
         again[1:] = (g[1:] == g[:-1]) & (c[1:] == c[:-1])
         with np.errstate(over="ignore"):
             g = np.where(again, (doc.view(np.uint64) * _ODD + a.view(np.uint64)).view(np.int64), g)
-        return pa.RecordBatch.from_arrays([pa.array(g), pa.array(c, mask=again), pa.array(doc), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], names=list(self.NAMES))
+        return pa.RecordBatch.from_arrays([pa.array(g), pa.array(c, mask=again), pa.array(doc), *(pa.array(x.astype(np.int32)) for x in (a, *rest))], names=list(self.NAMES))
 
 
-ROWS = "g long, c long, doc long, a int, b int"
-SPANS = "doc long, a int, b int, g long, covered boolean"
-#: Phrases that are collapsed and sent at once, and phrases of one trigger that are held at once, below 10 MB.
-SENT, HELD = 500_000, 20_000
+ROWS = "g long, c long, doc long, a int, b int, t int, r int, l int"
+SPANS = "doc long, a int, b int, g long, t int, r int, l int, covered boolean"
+#: Phrases that are collapsed and sent at once, phrases that share trigger and side from which on windows are dealt out by content, and bytes of phrases that are ordered at once.
+SENT, CROWD, ORDERED = 500_000, 500, 1 << 20
 
 
-def _parse(batches):
-    """Occurrences of phrases."""
-    cols: list[list[np.ndarray]] = [[], [], [], [], []]
-    held = 0
-    for batch in batches:
-        for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist(), strict=True):
-            if text is None or len(text) < WIDTH:
-                continue
-            g, a, b = phrases(np.frombuffer(text, np.uint8))
-            digest, view = xxhash.xxh3_64_intdigest, memoryview(text)
-            c = np.fromiter((digest(view[x : y + WIDTH]) for x, y in zip(a.tolist(), b.tolist(), strict=True)), np.uint64, len(a))
-            for own, x in zip(cols, (g.view(np.int64), c.view(np.int64), np.full(len(a), doc), a, b), strict=True):
-                own.append(x)
-            held += len(a)
-            if held >= SENT:
-                yield Rows(*cols).batch()
-                cols, held = [[], [], [], [], []], 0
-    if held:
-        yield Rows(*cols).batch()
+def _parse(size: int):
+    """Occurrences of phrases of texts; so many windows of a text are parsed at once."""
+
+    def run(batches):
+        cols: list[list[np.ndarray]] = [[] for _ in Rows.NAMES]
+        held = 0
+        for batch in batches:
+            for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist(), strict=True):
+                for start in range(0, len(text) - WIDTH + 1 if text else 0, size):
+                    piece = memoryview(text)[start : start + size + WIDTH - 1]
+                    g, t, a, b, r, left = phrases(np.frombuffer(piece, np.uint8))
+                    digest = xxhash.xxh3_64_intdigest
+                    c = np.fromiter((digest(piece[x : y + WIDTH]) for x, y in zip(a.tolist(), b.tolist(), strict=True)), np.uint64, len(a))
+                    for own, x in zip(cols, (g.view(np.int64), c.view(np.int64), np.full(len(a), doc), a + start, b + start, t + start, r, left), strict=True):
+                        own.append(x)
+                    held += len(a)
+                    if held >= SENT:
+                        yield Rows(cols).batch()
+                        cols, held = [[] for _ in Rows.NAMES], 0
+        if held:
+            yield Rows(cols).batch()
+
+    return run
 
 
 def _pack(batches):
@@ -131,121 +163,152 @@ def _pack(batches):
         yield pa.RecordBatch.from_arrays([*columns, pa.array(packed, pa.binary())], names=[*(n for n in batch.schema.names if n != "text"), "packed"])
 
 
+CONTEXTS = f"{ROWS}, bytes binary"
+
+
 def _contexts(batches):
-    """The bytes of the phrases in spans (array of a, b, g)."""
+    """The bytes of the phrases in spans (array of a, b, key, crowded); of those that are crowded the windows, as occurrences with content."""
     for batch in batches:
         out: list[list] = [[], [], [], []]
-        held = 0
+        windows: list[list[np.ndarray]] = [[] for _ in Rows.NAMES]
         for doc, packed, spans in zip(batch.column("doc").to_pylist(), batch.column("packed").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-            text = zstandard.ZstdDecompressor().decompress(packed)
+            text = memoryview(zstandard.ZstdDecompressor().decompress(packed))
             for s in spans:
-                for own, x in zip(out, (s["g"], doc, s["a"], text[s["a"] : s["b"] + WIDTH]), strict=True):
-                    own.append(x)
-            held += len(spans)
-            if held >= SENT:
-                yield _context_batch(out)
-                out, held = [[], [], [], []], 0
-        yield _context_batch(out)
-
-
-def _context_batch(out: list[list]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=["g", "doc", "a", "bytes"])
-
-
-def _windows(limit: int):
-    """Of phrases sorted by (g, doc, a): spans of windows that come before among the phrases of their trigger, without content.
-
-    The phrases of a trigger that has more than limit of them are not held: their
-    windows are returned as occurrences with content, to be dealt out by it.
-    """
-
-    def run(batches):
-        covered: list[list[int]] = [[], [], []]
-        hot: list[list[np.ndarray]] = [[], [], [], [], []]
-        held, now, spilling, waiting = [], None, False, 0
-
-        def digests(data: bytes) -> list[bytes]:
-            digest, view = xxhash.xxh3_128_digest, memoryview(data)
-            return [digest(view[p : p + WIDTH]) for p in range(len(data) - WIDTH + 1)]
-
-        def resolve() -> None:
-            seen: set[bytes] = set()
-            for doc, a, data in held:
-                start = None
-                for p, w in enumerate(digests(data)):
-                    if w in seen:
-                        start = p if start is None else start
-                        continue
-                    seen.add(w)
-                    if start is not None:
-                        put(doc, a + start, a + p - 1)
-                        start = None
-                if start is not None:
-                    put(doc, a + start, a + len(data) - WIDTH)
-
-        def put(*span: int) -> None:
-            for own, x in zip(covered, span, strict=True):
-                own.append(x)
-
-        def spill(doc: int, a: int, data: bytes) -> None:
-            raw = np.frombuffer(b"".join(digests(data)), np.int64)
-            at = np.arange(a, a + len(raw) // 2)
-            for own, x in zip(hot, (raw[0::2], raw[1::2], np.full(len(at), doc), at, at), strict=True):
-                own.append(x)
-
-        def send():
-            if covered[0]:
-                n = len(covered[0])
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int64)), pa.nulls(n, pa.int64()), pa.array(covered[0], pa.int64()), pa.array(covered[1], pa.int32()), pa.array(covered[2], pa.int32())], names=list(Rows.NAMES))
-                for own in covered:
-                    own.clear()
-            if hot[0]:
-                yield Rows(*hot).batch()
-                for own in hot:
-                    own.clear()
-
-        for batch in batches:
-            for g, doc, a, data in zip(*(batch.column(n).to_pylist() for n in ("g", "doc", "a", "bytes")), strict=True):
-                if g != now:
-                    resolve()
-                    held, now, spilling = [], g, False
-                if spilling:
-                    spill(doc, a, data)
-                    waiting += 1
+                a, b = s["a"], s["b"]
+                if s["crowded"]:
+                    raw = np.frombuffer(b"".join(xxhash.xxh3_128_digest(text[p : p + WIDTH]) for p in range(a, b + 1)), np.int64)
+                    at, none = np.arange(a, b + 1), np.zeros(b + 1 - a, np.int32)
+                    for own, x in zip(windows, (raw[0::2], raw[1::2], np.full(len(at), doc), at, at, none, none, none), strict=True):
+                        own.append(x)
                 else:
-                    held.append((doc, a, data))
-                    if len(held) > limit:
-                        for row in held:
-                            spill(*row)
-                        held, spilling = [], True
-                if waiting > 5000:
-                    waiting = 0
-                    yield from send()
-            yield from send()
-        resolve()
-        yield from send()
+                    for own, x in zip(out, (s["key"], doc, a, bytes(text[a : b + WIDTH])), strict=True):
+                        own.append(x)
+        if out[0]:
+            n = len(out[0])
+            key, doc, a, data = (pa.array(x, k) for x, k in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True))
+            yield pa.RecordBatch.from_arrays([key, pa.nulls(n, pa.int64()), doc, a, a, *(pa.nulls(n, pa.int32()) for _ in range(3)), data], names=[*Rows.NAMES, "bytes"])
+        if windows[0]:
+            found = Rows(windows).batch()
+            yield pa.RecordBatch.from_arrays([*found.columns, pa.nulls(found.num_rows, pa.binary())], names=[*Rows.NAMES, "bytes"])
+
+
+def suffix_array(data: np.ndarray, at: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """(those of the places at whose width bytes occur again, in order of these bytes, and the number of each run of equal ones).
+
+    Prefix doubling: ranks of 8 bytes give those of 16 and so on; two ranks that
+    overlap give those of width. A place whose bytes are unique is unique at every
+    length and is not looked at again.
+    """
+    n = len(data)
+    word = np.zeros(n + 8, np.uint64)
+    word[:n] = data
+    for step in (1, 2, 4):
+        word = (word << np.uint64(8 * step)) | np.r_[word[step:], np.zeros(step, np.uint64)]
+    rank, size = np.full(n + width, -1, np.int64), 8
+    where, ranks = _ranked(np.arange(n), word[:n])
+    rank[where] = ranks
+    while True:
+        other = min(size, width - size)
+        if size + other == width:
+            where = at
+        where = where[(rank[where] >= 0) & (rank[where + other] >= 0)]
+        where, ranks = _ranked(where, (rank[where].astype(np.uint64) << np.uint64(32)) | rank[where + other].astype(np.uint64))
+        size += other
+        if size == width:
+            return where, ranks
+        rank[:] = -1
+        rank[where] = ranks
+
+
+def _ranked(where: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places whose key another has too, in order of keys, and the rank of each key."""
+    order = np.argsort(key, kind="stable")
+    where, key = where[order], key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    alone = new & np.r_[new[1:], np.ones(min(1, len(new)), bool)]
+    rank = np.cumsum(new)
+    return where[~alone], rank[~alone]
+
+
+def covered_windows(pieces: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, first, last) of runs of windows of pieces (doc, place, bytes) that are in the pieces before as well."""
+    size = np.array([len(x) for *_, x in pieces])
+    doc, place = (np.array([x[i] for x in pieces], np.int64) for i in (0, 1))
+    many = size - WIDTH + 1
+    piece = np.repeat(np.arange(len(pieces)), many)
+    offset = np.arange(len(piece)) - np.repeat(np.cumsum(many) - many, many)
+    at = (np.cumsum(size) - size)[piece] + offset
+    back = np.zeros(int(size.sum()), np.int64)
+    back[at] = np.arange(len(at))
+    where, run = suffix_array(np.frombuffer(b"".join(x for *_, x in pieces), np.uint8), at)
+    own = back[where]
+    d, p = doc[piece[own]], place[piece[own]] + offset[own]
+    order = np.lexsort((p, d, run))
+    d, p, run = d[order], p[order], run[order]
+    later = np.zeros(len(run), bool)
+    later[1:] = run[1:] == run[:-1]
+    d, p = d[later], p[later]
+    order = np.lexsort((p, d))
+    d, p = d[order], p[order]
+    starts = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (p[1:] > p[:-1] + 1)][: len(d)])
+    ends = np.append(starts[1:], len(d))[: len(starts)] - 1
+    return d[starts], p[starts], p[ends]
+
+
+def _dictionary(batches):
+    """Spans of windows that come before, of phrases sorted by (g, doc, a): whole groups at a time."""
+    held: list[tuple[int, int, bytes]] = []
+    now, size = None, 0
+
+    def emit():
+        doc, a, b = covered_windows(held)
+        return pa.record_batch({"doc": pa.array(doc), "a": pa.array(a.astype(np.int32)), "b": pa.array(b.astype(np.int32))})
 
-    return run
+    for batch in batches:
+        for g, doc, a, data in zip(*(batch.column(n).to_pylist() for n in ("g", "doc", "a", "bytes")), strict=True):
+            if g != now and size > ORDERED:
+                yield emit()
+                held, size = [], 0
+            now = g
+            held.append((doc, a, data))
+            size += len(data)
+    if held:
+        yield emit()
 
 
 def _fates(doubtful: bool):
-    """Over rows sorted by all columns: spans that are covered and, if doubtful is set, first occurrences that share their group with other content."""
+    """Over rows sorted by (g, c, doc, a): spans that are covered and, if doubtful is set, first occurrences that share trigger and side with other content.
+
+    r and l of a doubtful span are null where no other phrase of its group shares
+    that side; a group that goes on in another batch is taken to share all.
+    """
 
-    def emit(doc, a, b, g, covered):
-        columns = [pa.array(doc, pa.int64()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.nulls(len(doc), pa.int64()) if covered else pa.array(g, pa.int64()), pa.array([covered] * len(doc), pa.bool_())]
-        return pa.RecordBatch.from_arrays(columns, names=["doc", "a", "b", "g", "covered"])
+    def emit(doc, a, b, g=None, t=None, r=None, left=None):
+        n, covered = len(doc), g is None
+        none = pa.nulls(n, pa.int32())
+        more = [pa.nulls(n, pa.int64()), none, none, none] if covered else [pa.array(g, pa.int64()), pa.array(t, pa.int32()), r, left]
+        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), *more, pa.array([covered] * n, pa.bool_())], names=["doc", "a", "b", "g", "t", "r", "l", "covered"])
+
+    def shared(group: np.ndarray, side: np.ndarray, has: np.ndarray, whole: np.ndarray) -> np.ndarray:
+        """Whether another of the rows has the same side; for rows whose group is not whole, whether they have the side."""
+        _, back, n = np.unique((group << 32) | side.view(np.uint32), return_inverse=True, return_counts=True) if has.all() else (None, None, None)
+        if back is None:
+            out = np.zeros(len(group), bool)
+            out[has] = shared(group[has], side[has], np.ones(int(has.sum()), bool), whole[has])
+            return out
+        return (n[back] > 1) | ~whole
 
     def run(batches):
         last = None  # group and content before
         head = None  # the first row of the open group, until other content follows
         for batch in batches:
-            g, doc, a, b = (batch.column(n).to_numpy() for n in ("g", "doc", "a", "b"))
+            g, doc, a, b, t, r, left = (batch.column(n).to_numpy() for n in ("g", "doc", "a", "b", "t", "r", "l"))
             known = np.asarray(batch.column("c").is_null())
             if known.any():
-                yield emit(doc[known], a[known], b[known], None, True)
+                yield emit(doc[known], a[known], b[known])
             c = batch.column("c").fill_null(0).to_numpy()
-            g, c, doc, a, b = (x[~known] for x in (g, c, doc, a, b))
+            g, c, doc, a, b, t, r, left = (x[~known] for x in (g, c, doc, a, b, t, r, left))
             if not len(g):
                 continue
             new_g, new_c = np.ones(len(g), bool), np.ones(len(g), bool)
@@ -255,23 +318,31 @@ def _fates(doubtful: bool):
                 new_g[0] = g[0] != last[0]
                 new_c[0] = new_g[0] or c[0] != last[1]
             last = int(g[-1]), int(c[-1])
-            yield emit(doc[~new_c], a[~new_c], b[~new_c], None, True)
+            yield emit(doc[~new_c], a[~new_c], b[~new_c])
             if not doubtful:
                 continue
             group = np.cumsum(new_g)  # 0: goes on from the batch before
             other = new_c & ~new_g
             mixed = np.bincount(group[other], minlength=group[-1] + 1) > 0
             if head is not None and mixed[0]:
-                yield emit(*[[x] for x in head], False)
+                yield emit([head[0]], [head[1]], [head[2]], [head[3]], [head[4]], pa.array([head[5]], pa.int32()), pa.array([head[6]], pa.int32()))
                 head = None
             if head is not None and group[-1] > 0:
                 head = None
-            heads = new_g & mixed[group]
-            pick = other | heads
-            yield emit(doc[pick], a[pick], b[pick], g[pick], False)
+            pick = np.flatnonzero(other | (new_g & mixed[group]))
+            if len(pick):
+                own, whole = group[pick], (group[pick] > 0) & (group[pick] < group[-1])
+                on_right = shared(own, r[pick], b[pick] >= t[pick] - NEAR, whole)
+                on_left = shared(own, left[pick], a[pick] < t[pick] - NEAR, whole)
+                some = on_right | on_left
+                p = pick[some]
+                yield emit(doc[p], a[p], b[p], g[p], t[p], pa.array(r[p], mask=~on_right[some]), pa.array(left[p], mask=~on_left[some]))
             if group[-1] > 0:
                 at = int(np.flatnonzero(new_g)[-1])
-                head = None if mixed[-1] else (int(doc[at]), int(a[at]), int(b[at]), int(g[at]))
+                if mixed[-1]:
+                    head = None
+                else:
+                    head = tuple(int(x[at]) for x in (doc, a, b, g, t)) + (int(r[at]) if b[at] >= t[at] - NEAR else None, int(left[at]) if a[at] < t[at] - NEAR else None)
 
     return run
 
@@ -295,17 +366,21 @@ def numbered(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
     return materialize(own.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("doc", F.monotonically_increasing_id()), "passage-docs").select("doc", "doc_id", "text")
 
 
-def repeated_spans(docs: DataFrame, *, held: int = HELD) -> DataFrame:
+def repeated_spans(docs: DataFrame, *, crowd: int = CROWD, piece: int = PIECE) -> DataFrame:
     """(doc, a, b): windows a to b of each numbered document that start earlier in the corpus as well."""
     texts = docs.where(F.octet_length("text") >= WIDTH).select("doc", "text")
-    found = materialize(_ordered(texts.mapInArrow(_parse, ROWS)).mapInArrow(_fates(True), SPANS), "passage-phrases")
-    unsure = found.where("not covered").groupBy("doc").agg(F.collect_list(F.struct("a", "b", "g")).alias("spans"))
-    contexts = texts.mapInArrow(_pack, "doc long, packed binary").join(unsure, "doc").mapInArrow(_contexts, "g long, doc long, a int, bytes binary")
-    contexts = contexts.repartition("g").sortWithinPartitions("g", "doc", "a")
-    again = materialize(contexts.mapInArrow(_windows(held), ROWS), "passage-windows")
-    hot = _ordered(again.where("c is not null")).mapInArrow(_fates(False), SPANS)
+    found = materialize(_ordered(texts.mapInArrow(_parse(piece), ROWS)).mapInArrow(_fates(True), SPANS), "passage-phrases")
+    side = lambda key, a, b: F.struct(F.xxhash64("g", key, F.lit(key)).alias("key"), a.alias("a"), b.alias("b"))
+    turn = F.col("t") - NEAR  # from here on windows have NEAR bytes to the right of the trigger
+    sides = F.array(F.when(F.col("r").isNotNull(), side("r", F.greatest("a", turn), F.col("b"))), F.when(F.col("l").isNotNull(), side("l", F.col("a"), F.least("b", turn - 1))))
+    unsure = materialize(found.where("not covered").select("doc", F.explode(F.array_compact(sides)).alias("x")).select("doc", "x.*"), "passage-unsure")
+    many = unsure.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key", (F.col("n") > crowd).alias("crowded"))
+    unsure = unsure.join(many, "key").groupBy("doc").agg(F.collect_list(F.struct("a", "b", "key", "crowded")).alias("spans"))
+    contexts = materialize(texts.mapInArrow(_pack, "doc long, packed binary").join(unsure, "doc").mapInArrow(_contexts, CONTEXTS), "passage-contexts")
+    ordered = contexts.where("bytes is not null").select("g", "doc", "a", "bytes").repartition("g").sortWithinPartitions("g", "doc", "a")
+    crowded = _ordered(contexts.where("bytes is null").drop("bytes")).mapInArrow(_fates(False), SPANS)
     spans = ("doc", "a", "b")
-    return found.where("covered").select(*spans).unionByName(again.where("c is null").select(*spans)).unionByName(hot.select(*spans))
+    return found.where("covered").select(*spans).unionByName(ordered.mapInArrow(_dictionary, "doc long, a int, b int")).unionByName(crowded.select(*spans))
 
 
 def cut(text: bytes, spans: list, width: int = WIDTH) -> tuple[bytes, int]:
@@ -320,11 +395,11 @@ def cut(text: bytes, spans: list, width: int = WIDTH) -> tuple[bytes, int]:
     return b"".join(out), runs
 
 
-def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", held: int = HELD) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD, piece: int = PIECE) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary, since a cut may part a character) of every row."""
     rows = numbered(docs, doc_id=doc_id, text=text)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    spans = repeated_spans(rows, held=held).groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    spans = repeated_spans(rows, crowd=crowd, piece=piece).groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
     def run(batches):
         for batch in batches:
