@@ -1,19 +1,24 @@
 """Quality rules that vote, joined by weak supervision.
 
-Each rule looks at counts of a text and votes good, bad or abstains. The votes
-of all documents are counted by pattern, of which there are at most 3 to the
-number of rules, and expectation-maximisation over the patterns estimates how
-accurate each rule is and how common good texts are, without labels. A text's
-posterior probability of being good decides, instead of every rule having to
-pass.
+Each rule looks at counts of a text and votes good, bad or abstains. Several
+rules look at each kind of fault from different sides, since only where rules
+overlap can their agreement tell how right each is. The votes of all documents
+are counted by pattern, of which there are at most 3 to the number of rules, and
+expectation-maximisation over the patterns estimates how right each rule is on
+good and on bad texts and how common good texts are, without labels and from a
+majority vote on. A text's posterior probability of being good decides: a bad
+vote of a rule that the others seldom agree with does not drop a text, and a text
+for which little speaks goes even if no rule votes against it.
 
 Defined results: a null or empty text has counts of 0, fails the base rules and
-is not kept; rules abstain where they have nothing to divide by; repeated rows
-are judged alike; an empty table gives an empty result; extra columns are ignored.
+is not kept; rules abstain where they have nothing to divide by or too little to
+tell; repeated rows are judged alike; an empty table gives an empty result; extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import numpy as np
@@ -25,11 +30,14 @@ from .common import WHITE, map_batches, materialize, words_of
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
-#: How right a rule is at least on good texts, and the weight, as a share of all texts, with which its accuracy on bad texts is
-#: drawn to 0.3. Both were chosen by looking at the labels of 4,000 texts; the estimation itself uses none.
-SURE, DRAWN = 0.998, 0.1
+#: What is known of a rule before any vote: so many texts, on which it is right this often where it votes. Weak next to any corpus.
+PRIOR, RIGHT = 2.0, 0.7
 MIN_WORDS, MAX_REPEAT_PCT = 10, 20
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_end_lines", "n_upper", "n_shout")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_end_lines", "n_upper", "n_shout", "n_distinct", "n_plain", "n_lettered", "n_marked")
+# Words in UTF-8: of letters with marks around, with a letter, and with a symbol.
+PLAIN = re.compile(rb"[(\"']*[A-Za-z\x80-\xff]+(?:['-][A-Za-z\x80-\xff]+)*[.,;:!?)\"']*").fullmatch
+LETTERED = re.compile(rb"[A-Za-z\x80-\xff]").search
+MARKED = re.compile(rb"[#*$%&|<>]").search
 
 
 def repeat_words(words: list, window: int = WINDOW) -> int:
@@ -53,6 +61,7 @@ def counts_of(text: str | None) -> tuple[int, ...]:
         return (0,) * len(COUNTS)
     raw = text.encode()
     words = words_of(raw)
+    seen = Counter(words)
     lines = [x for x in text.split("\n") if x.strip(WHITE)]
     return (
         len(words),
@@ -64,6 +73,8 @@ def counts_of(text: str | None) -> tuple[int, ...]:
         sum(x.rstrip(WHITE)[-1] in ".!?:;\"')" for x in lines),
         sum(map(str.isupper, text)) if not text.islower() else 0,
         text.count("!"),
+        len(seen),
+        *(sum(n for w, n in seen.items() if has(w)) for has in (PLAIN, LETTERED, MARKED)),
     )
 
 
@@ -86,14 +97,17 @@ def vote(share: Column, bad: Column, good: Column) -> Column:
 
 def votes() -> dict[str, Column]:
     """The rules; bounds are fixed values."""
-    ratio = lambda a, b: F.try_divide(F.col(a).cast("double"), F.col(b))
+    ratio = lambda a, b, least=1: F.when(F.col("n_words") >= least, F.try_divide(F.col(a).cast("double"), F.col(b)))
     out = {}
     for name, share, bad, good in (
-        ("length", F.col("n_words").cast("double"), lambda x: x < 3, lambda x: x >= 30),
-        ("word_length", ratio("word_chars", "n_words"), lambda x: (x < 2.2) | (x > 16), lambda x: (x >= 3) & (x <= 11)),
+        ("word_length", ratio("word_chars", "n_words"), lambda x: (x < 2.5) | (x > 10), lambda x: (x >= 3) & (x <= 8)),
         ("symbols", ratio("n_symbols", "word_chars"), lambda x: x > 0.04, lambda x: x < 0.01),
+        ("marked_words", ratio("n_marked", "n_words"), lambda x: x > 0.1, lambda x: x < 0.02),
+        ("lettered_words", ratio("n_lettered", "n_words"), lambda x: x < 0.8, lambda x: x >= 0.95),
+        ("plain_words", ratio("n_plain", "n_words"), lambda x: x < 0.7, lambda x: x >= 0.9),
         ("dup_lines", ratio("n_dup_lines", "n_lines"), lambda x: x > 0.3, lambda x: x <= 0.05),
         ("repeats", ratio("n_repeat_words", "n_words"), lambda x: x > 0.15, lambda x: x <= 0.03),
+        ("distinct", ratio("n_distinct", "n_words", 50), lambda x: x < 0.15, lambda x: x >= 0.3),
         ("line_ends", ratio("n_end_lines", "n_lines"), lambda x: x < 0.3, lambda x: x >= 0.7),
         ("upper", ratio("n_upper", "word_chars"), lambda x: x > 0.35, lambda x: x < 0.12),
         ("shout", ratio("n_shout", "n_words"), lambda x: x > 0.3, lambda x: x < 0.05),
@@ -102,30 +116,33 @@ def votes() -> dict[str, Column]:
     return out
 
 
-def fit(patterns: np.ndarray, counts: np.ndarray, *, sure: float = SURE, drawn: float = DRAWN, rounds: int = 200) -> tuple[float, np.ndarray, np.ndarray]:
+def fit(patterns: np.ndarray, counts: np.ndarray, *, rounds: int = 2000) -> tuple[float, np.ndarray, np.ndarray]:
     """(share of good texts, each rule's accuracy on good texts, and on bad ones) that make the patterns of votes likeliest.
 
     Bad texts are bad in different ways, so a rule may miss most of them and
-    still hardly ever be wrong about a good one; hence two accuracies. What a
-    rule finds of bad texts is drawn to 0.3 with the weight of a share of all
-    texts, else the commonest kind of bad text would be taken for the only one.
-    Rules are better than chance, which tells good from bad.
+    still hardly ever be wrong about a good one; hence two accuracies. The first
+    guess is the majority of the votes of each text; of the two classes that come
+    out, the one that more votes speak for is good.
     """
-    good, on_good, on_bad = 0.8, np.full(patterns.shape[1], 0.995), np.full(patterns.shape[1], 0.3)
+    rules = patterns.shape[1]
+    good, on_good, on_bad = 0.5, np.full(rules, RIGHT), np.full(rules, RIGHT)
     if not len(patterns):
         return good, on_good, on_bad
-    held = drawn * counts.sum()
     up, down = (patterns == 1).astype(float), (patterns == -1).astype(float)
+    cast = up + down
+    p = np.where(up.sum(axis=1) > down.sum(axis=1), 0.9, 0.1)
     for _ in range(rounds):
-        p = counts / (1 + np.exp(-(np.log(good / (1 - good)) + log_odds(patterns, on_good, on_bad))))
-        q = counts - p
-        new_good = np.clip((up.T @ p + 19) / ((up + down).T @ p + 20), sure, 0.9995)
-        new_bad = np.clip((down.T @ q + 0.3 * held) / ((up + down).T @ q + held), 1.005 - new_good, 0.999)
-        share = float(np.clip((p.sum() + 9) / (counts.sum() + 10), 0.05, 0.98))
+        p, q = counts * p, counts * (1 - p)
+        new_good = (up.T @ p + PRIOR * RIGHT) / (cast.T @ p + PRIOR)
+        new_bad = (down.T @ q + PRIOR * RIGHT) / (cast.T @ q + PRIOR)
+        share = float((p.sum() + PRIOR) / (counts.sum() + 2 * PRIOR))
         still = max(np.abs(new_good - on_good).max(), np.abs(new_bad - on_bad).max(), abs(share - good))
         good, on_good, on_bad = share, new_good, new_bad
-        if still < 1e-9:
+        p = 1 / (1 + np.exp(-np.clip(np.log(good / (1 - good)) + log_odds(patterns, on_good, on_bad), -500, 500)))
+        if still < 1e-10:
             break
+    if (cast.T @ counts) @ (on_good + on_bad - 1) < 0:
+        good, on_good, on_bad = 1 - good, 1 - on_bad, 1 - on_good
     return good, on_good, on_bad
 
 
@@ -140,9 +157,11 @@ def judge(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Dat
     rules = votes()
     cast = counted.select("*", *[c.alias(f"vote_{n}") for n, c in rules.items()])
     names = [f"vote_{n}" for n in rules]
-    patterns = cast.groupBy(*names).count().toPandas()  # at most 3 to the number of rules
-    patterns = patterns.sort_values(names)
-    good, on_good, on_bad = fit(patterns[names].to_numpy(float), patterns["count"].to_numpy(float))
+    digits = sum(((F.col(name) + 1) * 3**i for i, name in enumerate(names)), F.lit(0))
+    seen = sorted(cast.groupBy(digits.alias("pattern")).count().collect())  # at most 3 to the number of rules
+    code = np.array([r["pattern"] for r in seen], np.int64)
+    patterns = code[:, None] // 3 ** np.arange(len(names)) % 3 - 1
+    good, on_good, on_bad = fit(patterns, np.array([r["count"] for r in seen], float))
     odds = F.lit(float(np.log(good / (1 - good))))
     for name, g, b in zip(names, on_good.tolist(), on_bad.tolist(), strict=True):
         odds = odds + F.when(F.col(name) == 1, float(np.log(g / (1 - b)))).when(F.col(name) == -1, float(np.log((1 - g) / b))).otherwise(0.0)
