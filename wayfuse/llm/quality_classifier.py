@@ -14,6 +14,7 @@ repeated rows are scored alike; extra columns are ignored or carried.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -155,18 +156,20 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     The ids of the sample are chosen first, from the labels alone; they are at
     most sample_rows, so they are broadcast, and statistics are taken of their texts only.
     """
-    named = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("__id"), F.col(label).cast("double").alias("__y"))
-    chosen = named.orderBy(F.xxhash64("__id"), "__id", "__y").limit(sample_rows)
+    own, mine = (f"{x}_{uuid.uuid4().hex}" for x in ("id", "label"))  # names that clash with no column of docs
+    named = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias(own), F.col(label).cast("double").alias(mine))
+    chosen = named.orderBy(F.xxhash64(own), own, mine).limit(sample_rows)
     stats = statistics(text)
+    rows = docs.join(F.broadcast(chosen), F.col(doc_id) == F.col(own)).select(F.col(mine).alias("y"), F.col(own).alias("id"), *[c.alias(f"x_{n}") for n, c in stats.items()])
     names = list(stats)
-    rows = docs.join(F.broadcast(chosen), docs[doc_id] == F.col("__id")).select("__y", "__id", *[c.alias(f"__{n}") for n, c in stats.items()])
-    found = rows.orderBy(F.xxhash64("__id"), "__id", *[f"__{n}" for n in names], "__y").limit(sample_rows).toPandas()
-    return fit(found[[f"__{n}" for n in names]].to_numpy(float), found["__y"].to_numpy(float), names)
+    found = rows.orderBy(F.xxhash64("id"), "id", *[f"x_{n}" for n in names], "y").limit(sample_rows).toPandas()
+    return fit(found[[f"x_{n}" for n in names]].to_numpy(float), found["y"].to_numpy(float), names)
 
 
 def with_score(docs: DataFrame, model: RuleEnsemble, *, text: str = "text", to: str = "score") -> DataFrame:
     """docs with the score of each text; the statistics are worked out once a row."""
     stats = statistics(text)
-    held = docs.select("*", F.struct(*[c.cast("double").alias(n) for n, c in stats.items()]).alias(f"{to}__stats"))
-    score = model.score({n: F.col(f"{to}__stats.{n}") for n in stats})
+    own = f"stats_{uuid.uuid4().hex}"
+    held = docs.select("*", F.struct(*[c.cast("double").alias(n) for n, c in stats.items()]).alias(own))
+    score = model.score({n: F.col(f"{own}.{n}") for n in stats})
     return held.select(*[F.col(f"`{c}`") for c in docs.columns if c != to], score.alias(to))
