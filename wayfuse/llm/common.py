@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,3 +101,46 @@ def map_batches(df: DataFrame, fn: Callable[[pa.Table], Iterator[pa.RecordBatch]
                 yield from fn(pa.Table.from_batches([batch])).to_batches()
 
     return df.mapInArrow(run, schema)
+
+
+MET = "key long, entered boolean, node long"
+
+
+def meeting(batches):
+    """Of rows sorted by key, entries first, those of keys that have an entry and another line; equal rows once."""
+    last, alive, head = None, False, None  # the row before, whether its key has an entry, and that entry while it is alone
+
+    def emit(key, entered, node):
+        return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(entered, pa.bool_()), pa.array(node, pa.int64())], names=["key", "entered", "node"])
+
+    for batch in batches:
+        key, node = batch.column("key").to_numpy(), batch.column("node").to_numpy()
+        entered = batch.column("entered").to_numpy(zero_copy_only=False)
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1]) | (entered[1:] != entered[:-1])
+        if last is not None and len(key):
+            fresh[0] = (int(key[0]), bool(entered[0]), int(node[0])) != last
+        key, entered, node = key[fresh], entered[fresh], node[fresh]
+        if not len(key):
+            continue
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        new[0] = last is None or int(key[0]) != last[0]
+        group = np.cumsum(new)  # 0: goes on from the batch before
+        size = np.bincount(group, minlength=group[-1] + 1)
+        lives = np.zeros(group[-1] + 1, bool)
+        lives[0] = alive
+        lives[1:] = entered[new]
+        if size[0] and alive and head is not None:
+            yield emit([head[0]], [True], [head[1]])
+        if size[0] or group[-1] > 0:
+            head = None
+        many = size > 1
+        many[0] = True
+        pick = (lives & many)[group]
+        yield emit(key[pick], entered[pick], node[pick])
+        if group[-1] > 0:
+            alive = bool(lives[-1])
+            if alive and size[-1] == 1:
+                head = int(key[-1]), int(node[-1])
+        last = int(key[-1]), bool(entered[-1]), int(node[-1])

@@ -9,6 +9,13 @@ home. Each fingerprint is therefore sent to every anchor within 2 of either
 half, 2 to 17 of each, and compared at the anchors with fingerprints at home
 there. Equal fingerprints are one node, so copies are never paired.
 
+The same anchors serve texts that share most of their longer shingles
+(similar_groups). Their shingles' fingerprint alone differs in too many bits for
+any covering that stays selective, so several fingerprints of the set of words,
+of which an edit changes fewer, bring them to an anchor: one half of one of them
+has to be within one bit. There they are compared by that fingerprint and by that
+of the shingles, both by a wider threshold.
+
 An anchor with many fingerprints is cut into blocks that are compared block by
 block, so no task holds more than two blocks; from a block pair come only the
 links of a spanning forest, which keep every component and grow with the
@@ -28,13 +35,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialize, row_keyed, words_of
+from .common import MET, map_batches, materialize, meeting, row_keyed, words_of
 
 SEED = 42
 SHINGLE = 3
 THRESHOLD = 3
 #: Fingerprints of an anchor that are compared at once.
 BLOCK = 2048
+#: For texts of a similarity of 0.8 or more on shingles of five words: fingerprints of the words, and bits that these and that of the shingles may differ in.
+SIMILAR_SHINGLE, PRINTS, WIDE = 5, 4, 12
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -50,13 +59,33 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
         starts = np.concatenate(([0], ends[: len(words) - shingle] + 1)).tolist()
         hash64 = xxhash.xxh64_intdigest
         hashes = [hash64(line[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist(), strict=True)]
+    return majority(np.array(hashes, dtype=np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Bits set in over half the hashes."""
     counts = np.zeros(64, np.int64)
-    values = np.array(hashes, dtype=">u8").view(np.uint8).reshape(-1, 8)
+    values = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
     for at in range(0, len(values), 1 << 16):  # bounded memory for a text of any length
         counts += np.unpackbits(values[at : at + (1 << 16)], axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
+def word_prints(text: bytes | None, prints: int = PRINTS) -> list[int]:
+    """Fingerprints of the set of words, each from hashes mixed with another number."""
+    own = np.array([xxhash.xxh64_intdigest(w, SEED) for w in set(words_of(text.lower()))] if text else [], np.uint64)
+    if not len(own):
+        return [0] * prints
+    out = []
+    with np.errstate(over="ignore"):
+        for i in range(prints):
+            h = own + np.uint64((i * 0x9E3779B97F4A7C15) % (1 << 64))
+            h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+            out.append(majority(h ^ (h >> np.uint64(31))))
+    return out
+
+
 def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """doc_id and fingerprint (a signed long) of every row."""
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -100,32 +129,36 @@ def anchors_of(half: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     )
 
 
-def _covered(table: pa.Table) -> pa.Table:
-    fps = table.column("fp").to_numpy().view(np.uint64)
-    rows = []
-    for side in (0, 1):
-        half = (fps >> np.uint64(32 * side)).astype(np.uint32)
-        index, anchor, home = anchors_of(half)
-        rows.append((fps[index], anchor.astype(np.int64) * 2 + side, home))
-    return pa.table(
-        {
-            "fp": pa.array(np.concatenate([r[0] for r in rows]).view(np.int64)),
-            "anchor": pa.array(np.concatenate([r[1] for r in rows])),
-            "home": pa.array(np.concatenate([r[2] for r in rows])),
-        }
-    )
+def _covered(columns: list[str]):
+    """(key, entered, node): each node at the anchors of every half of its fingerprints, entered at home; the key names anchor, half and fingerprint."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                node, keys, own, homes = part.column("node").to_numpy(), [], [], []
+                for number, name in enumerate(columns):
+                    prints = part.column(name).to_numpy().view(np.uint64)
+                    for side in (0, 1):
+                        index, anchor, home = anchors_of((prints >> np.uint64(32 * side)).astype(np.uint32))
+                        keys.append((anchor.astype(np.int64) * 2 + side) * len(columns) + number)
+                        own.append(node[index])
+                        homes.append(home)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, homes, own)], names=["key", "entered", "node"])
+
+    return run
 
 
-def forest(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a spanning forest of the graph in which x of a and y of b are joined when they differ in at most threshold bits.
+def forest(a: list[np.ndarray], b: list[np.ndarray], limits: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in a, in b) of links of a spanning forest of the graph in which x of a and y of b are joined when no column differs in more bits than its limit.
 
     A breadth-first search over both sides; each row and each column of the
     distances is worked out once, and a node enters by one link.
     """
     left, right = [], []
-    open_a, open_b = np.ones(len(a), bool), np.ones(len(b), bool)
-    step = max(1, (1 << 21) // max(1, len(a), len(b)))
-    for seed in range(len(a)):
+    open_a, open_b = np.ones(len(a[0]), bool), np.ones(len(b[0]), bool)
+    step = max(1, (1 << 21) // max(1, len(open_a), len(open_b)))
+    for seed in range(len(open_a)):
         if not open_a[seed]:
             continue
         open_a[seed] = False
@@ -138,46 +171,52 @@ def forest(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> tuple[np
                 if not len(rest):
                     break
                 part = front[at : at + step]
-                near = np.bitwise_count(mine[part, None] ^ theirs[None, rest]) <= threshold
+                near = np.logical_and.reduce([np.bitwise_count(x[part, None] ^ y[None, rest]) <= limit for x, y, limit in zip(mine, theirs, limits, strict=True)])
                 hit = np.flatnonzero(near.any(axis=0))
                 via = part[near[:, hit].argmax(axis=0)]
                 still[rest[hit]] = False
                 found.append(rest[hit])
-                left.append(mine[via])
-                right.append(theirs[rest[hit]])
+                left.append(via if from_a else rest[hit])
+                right.append(rest[hit] if from_a else via)
             front, from_a = (np.concatenate(found) if found else np.array([], int)), not from_a
-    if not left:
-        return a[:0], a[:0]
-    x, y = np.concatenate(left), np.concatenate(right)
-    return x[x != y], y[x != y]
-
-
-def links_at_anchors(nodes: DataFrame, *, threshold: int = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) between the distinct fingerprints of nodes (fp) that leave the components of the threshold graph as they are."""
-    covered = map_batches(nodes.select("fp"), _covered, "fp long, anchor long, home boolean")
-    crowded = (
-        covered.groupBy("anchor")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("used"))
-        .where("used and n > 1")
-        .select("anchor", F.ceil(F.col("n") / block).cast("int").alias("parts"))
-    )
-    met = covered.join(materialize(crowded, "simhash-anchors"), "anchor")
-    own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    none = np.array([], int)
+    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+
+
+def links_at_anchors(nodes: DataFrame, *, prints: list[str], limit: int = THRESHOLD, checks: dict[str, int] | None = None, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between rows of nodes (node, *prints, *checks) that leave the components of all such links as they are.
+
+    Two nodes meet if a half of one of their prints differs in one bit at most,
+    which is so for all that differ in up to 3 bits. They link if this print
+    differs in at most limit bits and each column of checks in at most its own.
+    """
+    checks = checks or {}
+    covered = nodes.select("node", *prints).mapInArrow(_covered(prints), MET)
+    covered = covered.repartition("key").sortWithinPartitions("key", F.col("entered").desc(), "node")
+    met = materialize(covered.mapInArrow(meeting, MET), "simhash-met")
+    parts = met.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+    met = met.join(materialize(parts, "simhash-anchors"), "key").join(nodes, "node")
+    which = F.pmod("key", F.lit(len(prints)))
+    shown = F.element_at(F.array(*prints), which.cast("int") + 1).alias("print")
+    met = met.select("key", "entered", "node", "parts", shown, *checks)
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    homes = met.where("home").select("anchor", own.alias("i"), every.alias("j"), "fp", F.lit(True).alias("home"))
-    guests = met.select("anchor", every.alias("i"), own.alias("j"), "fp", F.lit(False).alias("home"))
-    keys = ["anchor", "i", "j"]
+    homes = met.where("entered").select("key", own.alias("i"), every.alias("j"), "node", "print", *checks, F.lit(True).alias("home"))
+    guests = met.select("key", every.alias("i"), own.alias("j"), "node", "print", *checks, F.lit(False).alias("home"))
+    keys = ["key", "i", "j"]
 
     def compare(table: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
-        fps = table.column("fp").to_numpy().view(np.uint64)
-        home = table.column("home").to_numpy()
-        found = [(np.array([], np.uint64),) * 2]
+        node, home = table.column("node").to_numpy(), table.column("home").to_numpy()
+        columns = [table.column(c).to_numpy().view(np.uint64) for c in ("print", *checks)]
+        found = [(np.array([], np.int64),) * 2]
         for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
-            part, here = fps[start:stop], home[start:stop]
-            if here.any() and not here.all():
-                found.append(forest(np.unique(part[here]), np.unique(part[~here]), threshold))
-        a, b = (np.concatenate(x).view(np.int64) for x in zip(*found, strict=True))
-        return pa.record_batch({"a": pa.array(a), "b": pa.array(b)})
+            here = start + np.flatnonzero(home[start:stop])
+            there = start + np.flatnonzero(~home[start:stop])
+            if len(here) and len(there):
+                x, y = forest([c[here] for c in columns], [c[there] for c in columns], [limit, *checks.values()])
+                found.append((node[here[x]], node[there[y]]))
+        a, b = map(np.concatenate, zip(*found, strict=True))
+        return pa.record_batch({"a": pa.array(np.minimum(a, b)[a != b]), "b": pa.array(np.maximum(a, b)[a != b])})
 
     def run(batches):
         held = None
@@ -193,8 +232,7 @@ def links_at_anchors(nodes: DataFrame, *, threshold: int = THRESHOLD, block: int
             yield compare(held, np.array([0, held.num_rows]))
 
     dealt = homes.unionByName(guests).repartition(*keys).sortWithinPartitions(*keys)
-    found = dealt.mapInArrow(run, "a long, b long")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -232,25 +270,50 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", row_id: str | None = None, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """One row per row of docs: doc_id, fp, component_id, and row_id and kept if row_id names the column that numbers the rows."""
+    if not 0 <= threshold <= 3:
+        raise ValueError("the covering is for thresholds of 0 to 3 bits")
     frame = docs.select(F.struct(F.col(doc_id).alias("doc_id"), F.col(row_id or doc_id).alias("row_id")).alias("doc_id"), F.col(text).alias("text"))
-    rows = fingerprints(frame, shingle=shingle).select("doc_id.doc_id", "doc_id.row_id", "fp")
-    rows = materialize(rows if row_id else rows.drop("row_id"), "simhash-rows")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *(["row_id"] if row_id else []))).alias("first")
-    nodes = materialize(rows.groupBy("fp").agg(first), "simhash-nodes")
-    roots = materialize(components(links_at_anchors(nodes, threshold=threshold)), "simhash-roots")
-    told = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    told = materialize(told, "simhash-told")
+    rows = fingerprints(frame, shingle=shingle).select("doc_id.doc_id", "doc_id.row_id", F.col("fp").alias("node"))
+    found = _grouped(rows if row_id else rows.drop("row_id"), [], lambda nodes: links_at_anchors(nodes.withColumn("fp", F.col("node")), prints=["fp"], limit=threshold))
+    return found.withColumnRenamed("node", "fp")
+
+
+def similar_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", row_id: str, shingle: int = SIMILAR_SHINGLE) -> DataFrame:
+    """doc_id, node, component_id, row_id and kept of every row of docs; texts link if they share, as far as fingerprints tell, 0.8 of their shingles."""
+    kinds = {c: docs.schema[c].dataType.simpleString() for c in (doc_id, row_id)}
+    prints = [f"f{i}" for i in range(PRINTS)]
+
+    def run(table: pa.Table) -> pa.Table:
+        texts = table.column("text").cast(pa.large_binary()).to_pylist()
+        found = np.array([[fingerprint(t, shingle), *word_prints(t)] for t in texts], dtype=np.uint64).reshape(-1, 1 + PRINTS)
+        node = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in found], dtype=np.uint64)
+        columns = {name: pa.array(x.view(np.int64)) for name, x in zip(["node", "shingles", *prints], [node, *np.ascontiguousarray(found.T)], strict=True)}
+        return pa.table({"doc_id": table.column("doc_id"), "row_id": table.column("row_id")} | columns)
+
+    frame = docs.select(F.col(doc_id).alias("doc_id"), F.col(row_id).alias("row_id"), F.col(text).cast("string").alias("text"))
+    rows = map_batches(frame, run, f"doc_id {kinds[doc_id]}, row_id {kinds[row_id]}, node long, shingles long, " + ", ".join(f"{p} long" for p in prints))
+    return _grouped(rows, ["shingles", *prints], lambda nodes: links_at_anchors(nodes, prints=prints, limit=WIDE, checks={"shingles": WIDE}))
+
+
+def _grouped(rows: DataFrame, shown: list[str], links) -> DataFrame:
+    """doc_id, node, component_id, and row_id and kept if rows has row_id; links are made between nodes (node, *shown)."""
+    rows = materialize(rows, "simhash-rows")
+    numbered = "row_id" in rows.columns
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *(["row_id"] if numbered else []))).alias("first")
+    nodes = materialize(rows.groupBy("node").agg(first, *[F.min(c).alias(c) for c in shown]), "simhash-nodes")
+    roots = materialize(components(links(nodes.select("node", *shown))), "simhash-roots")
+    told = materialize(nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root")), "simhash-told")
     lowest = told.groupBy("root").agg(F.min("first").alias("first"))
-    named = materialize(told.select("fp", "root").join(lowest, "root").select("fp", "first"), "simhash-named")
-    out = ["doc_id", "fp", F.col("first.doc_id").alias("component_id")]
-    if row_id:
+    named = materialize(told.select("node", "root").join(lowest, "root").select("node", "first"), "simhash-named")
+    out = ["doc_id", "node", F.col("first.doc_id").alias("component_id")]
+    if numbered:
         out += ["row_id", (F.col("row_id") == F.col("first.row_id")).alias("kept")]
-    return rows.join(named, "fp").select(*out)
+    return rows.join(named, "node").select(*out)
 
 
 def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The first row (smallest id, then input order) of each component, with all columns of docs."""
+    """The first row (smallest id, then input order) of each component of similar texts, with all columns of docs."""
     named, row = row_keyed(docs, doc_id, "simhash-input")
-    fates = near_groups(named, doc_id=doc_id, text=text, row_id=row)
+    fates = similar_groups(named, doc_id=doc_id, text=text, row_id=row)
     dropped = materialize(fates.where(~F.col("kept")).select(F.col("row_id").alias(row)), "simhash-dropped")
     return named.join(dropped, row, "left_anti").drop(row)
