@@ -10,30 +10,37 @@ a bit-parallel edit distance within the band, in blocks.
 Equal lines are one node, so copies are never paired. A line of MAX_EDITS
 characters or fewer has an empty segment, which every line of a length that it
 may link to holds: such lines are all compared. A key under which many lines
-meet is cut into blocks that are compared block by block.
+meet is cut into blocks that are compared block by block; what their characters
+alone tell apart is not compared further. Two lines may meet under several keys
+and are a link under the first of them only, so links are counted where they are
+found: out of a block come the counts of its lines and a spanning forest of its
+links, which grow with its lines and not with their pairs.
 
 Defined results: a null text has no lines; white space at the ends of a line is
-not compared and an empty line is never a duplicate; of ties the line that comes
-first by (document, line number) is the first; a null id comes last; repeated
+not compared and an empty line is never a duplicate; of a class the line that
+comes first by (document, row, line number) stays; a null id comes last; repeated
 rows are documents of their own; an empty table gives an empty result; extra
 columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, materialize, row_keyed, text_or_empty
+from .common import MET, WHITE, materialize, meeting, row_keyed, text_or_empty
 from .simhash_dedup import components
 
 MAX_EDITS = 2
-#: Lines of fewer characters are compared for equality only: 1 leaves out none, as an empty line is never compared.
-MIN_CHARS = 1
 BLOCK = 512
+#: Bins that characters are counted in; blocks of fewer pairs are compared without.
+BINS, FEW = 64, 16
 #: Up to so many lines that meet another are broadcast, by their 8-byte hashes, to pick their texts; beyond it they are joined by shuffle.
 BROADCAST_NODES = 200_000
 
@@ -106,95 +113,134 @@ def split_lines(docs: DataFrame, *own, text: str = "text") -> DataFrame:
     """(*own, line_no, line) of every line, white space at its ends cut off; line is null where nothing is left, and a row without text has one such line."""
     held = docs.select(*own, text_or_empty(text).alias("__text"))  # a row is numbered before it becomes several
     lines = held.select(*held.columns[:-1], F.posexplode(F.split("__text", "\n")).alias("line_no", "line"))
-    line = F.regexp_replace("line", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
-    return lines.withColumn("line", F.nullif(line, F.lit("")))
+    return lines.withColumn("line", F.nullif(F.btrim("line", F.lit(WHITE)), F.lit("")))
 
 
-def line_keys(line: str, edits: int, least: int) -> tuple[list[int], list[int]]:
-    """Hashes of the line's segments as they are entered, and of the substrings that it probes with."""
-    hash64, length = xxhash.xxh64_intdigest, len(line)
+@lru_cache(maxsize=4096)
+def plan(length: int, edits: int) -> tuple[tuple[str, int, int], ...]:
+    """(what goes before the substring in its key, start, end) of a line's own segments, then of the substrings that it probes with."""
     own = segments(length, edits + 1)
-    entered = [hash64(f"{length},{i},{line[at : at + size]}") for i, (at, size) in enumerate(own)]
-    probed = set()
-    for other in range(max(least, length - edits), length + 1):
+    places = [(f"{length},{i},", at, at + size) for i, (at, size) in enumerate(own)]
+    for other in range(max(1, length - edits), length + 1):
         for i, at, size in probes(length, other, edits):
             if other < length or at != own[i][0]:  # else it is met as an entry
-                probed.add(hash64(f"{other},{i},{line[at : at + size]}"))
-    return entered, list(probed)
+                places.append((f"{other},{i},", at, at + size))
+    return tuple(places)
+
+
+def first_key(entry: str, guest: str, edits: int) -> int:
+    """The key under which an entry and a guest that link are a link: the first that they share."""
+    own = segments(len(entry), edits + 1)
+    for i, at, size in probes(len(guest), len(entry), edits):
+        start = own[i][0]
+        if guest[at : at + size] == entry[start : start + size]:
+            return xxhash.xxh64_intdigest(f"{len(entry)},{i},{guest[at : at + size]}")
+    return -1
 
 
-def _key_rows(edits: int, least: int):
+def _key_rows(edits: int):
     """(key, entered, node) of the lines of texts; a line is taken once a batch."""
 
     def run(batches):
+        hash64 = xxhash.xxh64_intdigest
         for batch in batches:
             seen: set[str] = set()
             for text in batch.column("text").to_pylist():
                 if text:
-                    seen.update(x for x in (y.strip(WHITE) for y in text.split("\n")) if len(x) >= least)
+                    seen.update(y.strip(WHITE) for y in text.split("\n"))
+            seen.discard("")
             lines = list(seen)
             for at in range(0, len(lines), 20_000):
-                keys, counts, nodes = [], [], []
-                for line in lines[at : at + 20_000]:
-                    entered, probed = line_keys(line, edits, least)
-                    keys += entered
-                    keys += probed
-                    counts += (len(entered), len(probed))
-                    nodes.append(xxhash.xxh64_intdigest(line, 42))
-                both = np.array(counts, np.int64)
-                node = np.repeat(np.array(nodes, np.uint64).view(np.int64), both[0::2] + both[1::2])
-                entry = np.repeat(np.tile([True, False], len(nodes)), both)
+                part = lines[at : at + 20_000]
+                plans = [plan(len(line), edits) for line in part]
+                keys = [hash64(before + line[a:b]) for line, places in zip(part, plans, strict=True) for before, a, b in places]
+                many = np.fromiter(map(len, plans), np.int64, len(part))
+                node = np.repeat(np.array([hash64(line, 42) for line in part], np.uint64).view(np.int64), many)
+                entry = np.arange(len(node)) - np.repeat(np.cumsum(many) - many, many) <= edits
                 yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(entry), pa.array(node)], names=["key", "entered", "node"])
 
     return run
 
 
-def _meeting(batches):
-    """Of rows sorted by key, entries first, those of keys that have an entry and another line; equal rows once."""
-    last, alive, head = None, False, None  # the row before, whether its key has an entry, and that entry while it is alone
-
-    def emit(key, entered, node):
-        return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(entered, pa.bool_()), pa.array(node, pa.int64())], names=["key", "entered", "node"])
-
-    for batch in batches:
-        key, node = batch.column("key").to_numpy(), batch.column("node").to_numpy()
-        entered = batch.column("entered").to_numpy(zero_copy_only=False)
-        fresh = np.ones(len(key), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1]) | (entered[1:] != entered[:-1])
-        if last is not None and len(key):
-            fresh[0] = (int(key[0]), bool(entered[0]), int(node[0])) != last
-        key, entered, node = key[fresh], entered[fresh], node[fresh]
-        if not len(key):
-            continue
-        new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
-        new[0] = last is None or int(key[0]) != last[0]
-        group = np.cumsum(new)  # 0: goes on from the batch before
-        size = np.bincount(group, minlength=group[-1] + 1)
-        lives = np.zeros(group[-1] + 1, bool)
-        lives[0] = alive
-        lives[1:] = entered[new]
-        if size[0] and alive and head is not None:
-            yield emit([head[0]], [True], [head[1]])
-        if size[0] or group[-1] > 0:
-            head = None
-        many = size > 1
-        many[0] = True
-        pick = (lives & many)[group]
-        yield emit(key[pick], entered[pick], node[pick])
-        if group[-1] > 0:
-            alive = bool(lives[-1])
-            if alive and size[-1] == 1:
-                head = int(key[-1]), int(node[-1])
-        last = int(key[-1]), bool(entered[-1]), int(node[-1])
-
-
-def edit_links(docs: DataFrame, *, text: str = "text", edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, block: int = BLOCK) -> DataFrame:
-    """(a, b), a < b, hashes of every two different lines of docs within the edits and of min_chars characters at least."""
+def alike(left: list[str], right: list[str], edits: int) -> list[tuple[int, int]]:
+    """Places of pairs that lengths and counts of characters do not tell apart."""
+    if len(left) * len(right) <= FEW:
+        return [(i, j) for i, x in enumerate(left) for j, y in enumerate(right) if 0 <= len(y) - len(x) <= edits]
+    bins = []
+    for lines in (left, right):
+        counts = np.zeros((len(lines), BINS), np.int32)
+        for i, line in enumerate(lines):
+            np.add.at(counts[i], np.frombuffer(line.encode("utf-32-le"), np.uint32) % BINS, 1)
+        bins.append(counts)
+    a, b = (np.array([len(x) for x in lines]) for lines in (left, right))
+    out: list[tuple[int, int]] = []
+    step = max(1, (1 << 22) // (BINS * len(right)))
+    for at in range(0, len(left), step):
+        far = np.abs(bins[0][at : at + step, None] - bins[1][None]).sum(axis=2)  # an edit changes two counts at most
+        more = b[None] - a[at : at + step, None]
+        i, j = np.nonzero((far <= 2 * edits) & (more >= 0) & (more <= edits))
+        out += zip((i + at).tolist(), j.tolist(), strict=True)
+    return out
+
+
+def block_links(key: int, rows: list[tuple[int, str, bool]], edits: int) -> list[tuple[int, int]]:
+    """Links between entries and guests (node, line, entered) of a block whose key is the one that they count under."""
+    entries, guests = dict((n, x) for n, x, e in rows if e), dict((n, x) for n, x, e in rows if not e)
+    left, right, out = list(entries.items()), list(guests.items()), []
+    for i, j in alike([x for _, x in left], [x for _, x in right], edits):
+        (n, x), (m, y) = left[i], right[j]
+        if n != m and (len(x) < len(y) or n < m) and edit_distance(x, y, edits) <= edits and first_key(x, y, edits) == key % (1 << 64):
+            out.append((n, m))
+    return out
+
+
+def _blocks(edits: int, emit):
+    """emit over the links of each block of rows sorted by (key, i, j)."""
+
+    def run(batches):
+        held, key = [], None
+        for batch in batches:
+            links = []
+            cols = [batch.column(c).to_pylist() for c in ("key", "i", "j", "node", "line", "entered")]
+            for k, i, j, node, line, entered in zip(*cols, strict=True):
+                if (k, i, j) != key:
+                    links += emit(block_links(key[0], held, edits)) if key else []
+                    held, key = [], (k, i, j)
+                held.append((node, line, entered))
+            yield links_batch(links)
+        yield links_batch(emit(block_links(key[0], held, edits)) if key else [])
+
+    return run
+
+
+def links_batch(rows: list[tuple[int, int | None, int]]) -> pa.RecordBatch:
+    a, b, n = zip(*rows, strict=True) if rows else ([], [], [])
+    return pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(n, pa.int64())})
+
+
+def summed(links: list[tuple[int, int]]) -> list[tuple[int, int | None, int]]:
+    """Of the links of a block: (node, null, how many it has), and those of a spanning forest as (a, b, 0)."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    many, out = Counter(x for pair in links for x in pair), []
+    for a, b in links:
+        x, y = find(a), find(b)
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            out.append((a, b, 0))
+    return [*((x, None, n) for x, n in many.items()), *out]
+
+
+def _linked(docs: DataFrame, text: str, edits: int, block: int, emit) -> DataFrame:
     texts = docs.select(F.col(text).cast("string").alias("text"))
-    keyed = texts.mapInArrow(_key_rows(edits, min_chars), "key long, entered boolean, node long")
+    keyed = texts.mapInArrow(_key_rows(edits), MET)
     keyed = keyed.repartition("key").sortWithinPartitions("key", F.col("entered").desc(), "node")
-    met = materialize(keyed.mapInArrow(_meeting, "key long, entered boolean, node long"), "line-met")
+    met = materialize(keyed.mapInArrow(meeting, MET), "line-met")
     nodes = materialize(met.select("node").distinct(), "line-nodes")
     lines = split_lines(docs, text=text).where("line is not null").select(F.xxhash64("line").alias("node"), "line")
     few = nodes.count() <= BROADCAST_NODES
@@ -206,36 +252,22 @@ def edit_links(docs: DataFrame, *, text: str = "text", edits: int = MAX_EDITS, m
     every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     entries = met.where("entered").select("key", own.alias("i"), every.alias("j"), "node", "line", F.lit(True).alias("entered"))
     guests = met.select("key", every.alias("i"), own.alias("j"), "node", "line", F.lit(False).alias("entered"))
+    dealt = entries.unionByName(guests).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.mapInArrow(_blocks(edits, emit), "a long, b long, n long")
 
-    def compare(rows: list[tuple]) -> list[tuple[int, int]]:
-        left, right = [r for r in rows if r[2]], [r for r in rows if not r[2]]
-        return [(min(x[0], y[0]), max(x[0], y[0])) for x in left for y in right if x[0] != y[0] and 0 <= len(y[1]) - len(x[1]) <= edits and edit_distance(x[1], y[1], edits) <= edits]
 
-    def run(batches):
-        held, key = [], None
-        for batch in batches:
-            links: set = set()
-            cols = [batch.column(c).to_pylist() for c in ("key", "i", "j", "node", "line", "entered")]
-            for k, i, j, node, line, entered in zip(*cols, strict=True):
-                if (k, i, j) != key:
-                    links.update(compare(held))
-                    held, key = [], (k, i, j)
-                held.append((node, line, entered))
-            yield pa.record_batch({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
-        links = set(compare(held))
-        yield pa.record_batch({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
-
-    dealt = entries.unionByName(guests).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+def edit_links(docs: DataFrame, *, text: str = "text", edits: int = MAX_EDITS, block: int = BLOCK) -> DataFrame:
+    """(a, b), a < b, hashes of every two different lines of docs within the edits. Among many lines that are all alike there are as many links as pairs."""
+    return _linked(docs, text, edits, block, lambda links: [(min(x), max(x), 1) for x in links]).select("a", "b")
 
 
-def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", row_id: str | None = None, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", row_id: str | None = None, edits: int = MAX_EDITS, block: int = BLOCK) -> DataFrame:
     """What becomes of every line: row_id, doc_id, line_no, line_id, class_id, n_links, duplicate; an empty line has no line_id and no class_id.
 
     line_id names the line's text; class_id is the smallest line_id of the
     component of links that the line is in, its own without a link; n_links is
-    how many other texts it links to; duplicate is true unless no equal or linked
-    line comes before it.
+    how many other texts it links to; duplicate is true unless it is the first
+    line of its class.
     """
     number = (F.col(row_id) if row_id else F.monotonically_increasing_id()).alias("row_id")
     node = F.when(F.col("line").isNotNull(), F.xxhash64("line")).alias("node")
@@ -243,15 +275,15 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     lines = materialize(lines, "line-rows")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id", "line_no")).alias("first")
     starts = materialize(lines.where("node is not null").groupBy("node").agg(first), "line-starts")
-    links = materialize(edit_links(docs, text=text, edits=edits, min_chars=min_chars), "line-links")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    around = both.join(starts.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.count(F.lit(1)).alias("n_links"), F.min("first").alias("before"))
-    fates = starts.join(around.withColumnRenamed("a", "node"), "node", "left").join(components(links), "node", "left")
-    fates = materialize(fates.select("node", F.coalesce("root", "node").alias("class_id"), "first", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce(F.col("before") < F.col("first"), F.lit(False)).alias("later")), "line-fates")
+    found = materialize(_linked(docs, text, edits, block, summed), "line-links")
+    many = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links"))
+    fates = starts.join(many, "node", "left").join(components(found.where("b is not null").select("a", "b")), "node", "left")
+    fates = materialize(fates.select("node", F.coalesce("root", "node").alias("class_id"), "first", F.coalesce("n_links", F.lit(0)).alias("n_links")), "line-fates")
+    linked = fates.where("n_links > 0").groupBy("class_id").agg(F.min("first").alias("opening"))
+    fates = fates.join(linked, "class_id", "left").select("node", "class_id", "n_links", F.coalesce("opening", "first").alias("opening"))
     joined = lines.join(fates, "node", "left")
-    opening = (F.col("row_id") == F.col("first.row_id")) & (F.col("line_no") == F.col("first.line_no"))
-    duplicate = F.col("node").isNotNull() & (F.col("later") | ~opening)
-    return joined.select("row_id", "doc_id", "line_no", F.col("node").alias("line_id"), "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), duplicate.alias("duplicate"))
+    stays = (F.col("row_id") == F.col("opening.row_id")) & (F.col("line_no") == F.col("opening.line_no"))
+    return joined.select("row_id", "doc_id", "line_no", F.col("node").alias("line_id"), "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), (F.col("node").isNotNull() & ~stays).alias("duplicate"))
 
 
 def per_document(fates: DataFrame) -> DataFrame:
