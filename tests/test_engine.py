@@ -301,3 +301,50 @@ def test_rsus_and_ids(spark, tmp_path):
     assert [r["rsu_lat"] for r in found] == [50.0, None]
     assert [r["vehicle_id"] for r in side_files.apply_identity_map(m, {"a": "z"}).orderBy("rsu_id").collect()] == ["z", "b"]
     assert side_files.apply_identity_map(m, {}).count() == 2
+
+
+def test_quantiles_narrow_down(spark, monkeypatch):
+    """Exact ranks by passes over bins, with ties, one value and no value."""
+    monkeypatch.setattr(analytics, "FETCHED", 5)
+    monkeypatch.setattr(analytics, "BINS", 4)
+    for values in ([3.0] * 40, [1.0, 2.0, 2.0, 2.0, 9.5, 1e6], [float(x * x % 101) for x in range(200)], [-5.0, 7.25]):
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
+        assert analytics.quantiles(df, "x", (0.0, 0.25, 0.5, 0.75, 1.0)) == pytest.approx(np.quantile(values, (0, 0.25, 0.5, 0.75, 1)).tolist())
+    assert analytics.quantiles(df.limit(0), "x", (0.5,)) == [None]
+
+
+def test_time_deltas_cross_slices(spark):
+    times = [0, 5, 5, 4000, 90_000, 90_001, 400_000]
+    df = spark.createDataFrame([(t,) for t in times], "timestamp_ms bigint").repartition(3)
+    found = analytics.time_deltas(df, slice_ms=1000).collect()
+    assert sorted(r["delta_s"] for r in found if r["delta_s"] is not None) == sorted((b - a) / 1000 for a, b in zip(times, times[1:], strict=False))
+    assert len(found) == len(times)
+
+
+def test_space_time_match_near_the_date_line_and_poles(spark):
+    r = np.random.default_rng(5)
+    places = [(i, float(lat), float(lon)) for i, (lat, lon) in enumerate(zip(r.choice([-89.95, 0.0, 60.0, 89.9], 120) + r.normal(0, 0.02, 120), np.where(r.random(120) < 0.5, 179.98, -179.98) + r.normal(0, 0.03, 120), strict=True))]
+    places = [(i, max(-90.0, min(90.0, lat)), (lon + 180) % 360 - 180) for i, lat, lon in places]
+    frame = spark.createDataFrame([(i, f"v{i}", 0, lat, lon) for i, lat, lon in places], "ordinal bigint, vehicle_id string, timestamp_ms bigint, latitude double, longitude double")
+    found = fusion.spatiotemporal_match(frame.where("ordinal % 2 = 0"), frame.where("ordinal % 2 = 1"), max_ms=10, max_m=2000.0)
+
+    def meters(a, b):
+        p, q = np.radians(a[1]), np.radians(b[1])
+        h = np.sin((q - p) / 2) ** 2 + np.cos(p) * np.cos(q) * np.sin(np.radians(b[2] - a[2]) / 2) ** 2
+        return 2 * 6371000.0 * np.arcsin(np.sqrt(min(1.0, h)))
+
+    for row in found.collect():
+        near = min(((meters(places[row["ordinal"]], q), f"v{q[0]}") for q in places if q[0] % 2), default=None)
+        assert row["matched_id"] == (near[1] if near[0] < 2000 else None)
+
+
+def test_plot_tables_of_a_run(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = [json.dumps({"stationID": "v", "timestamp": 1_700_000_000_000 + 1000 * i, "lat": 50 + i / 1e4, "lon": 6 + i / 1e4, "payload_bytes": 10, "messageType": "CAM"}) for i in range(20)]
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines))
+    config = side_files.PipelineConfig(str(tmp_path / "in"), str(tmp_path / "out"), visualize=True)
+    runs.run_records(spark, config)
+    assert spark.read.parquet(str(tmp_path / "out/plots/tracks.parquet")).count() == 20
+    assert spark.read.parquet(str(tmp_path / "out/plots/throughput.parquet")).count() == 20
+    found = json_records.read_lines(spark, str(tmp_path / "in"))
+    assert found.count() == 20 and found.select("ordinal").distinct().count() == 20

@@ -31,12 +31,51 @@ def kbps(bytes_: Column, minutes: Column) -> Column:
     return F.try_divide(bytes_ * 8 / 1000.0, F.nullif(minutes * 60, F.lit(0.0)))
 
 
+#: Values that are fetched at once, and bins of a pass over more of them, when a quantile is looked for.
+FETCHED, BINS = 100_000, 1000
+
+
+def quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
+    """Exact quantiles with linear interpolation, by as many passes as it takes to narrow the values around each rank down to few.
+
+    A pass counts by bin, so nothing grows with the number of distinct values:
+    neither an aggregate's state nor a sort.
+    """
+    values = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
+    n, low, high = values.agg(F.count(F.lit(1)), F.min("v"), F.max("v")).first()
+    if not n:
+        return [None] * len(shares)
+    fetched: dict[tuple[float, float], list[float]] = {}
+
+    def value_at(rank: int, low: float, high: float, many: int) -> float:
+        """The value of a rank among the many values from low to high."""
+        while low < high and many > FETCHED:
+            step = F.least(F.floor((F.col("v") - low) / ((high - low) / BINS)), F.lit(BINS - 1))
+            bins = values.where(F.col("v").between(low, high)).groupBy(step.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+            for b in sorted(bins.collect(), key=lambda r: r["b"]):
+                if rank < b["n"]:
+                    low, high, many = b["low"], b["high"], b["n"]
+                    break
+                rank -= b["n"]
+        if low < high and (low, high) not in fetched:
+            fetched[low, high] = sorted(r["v"] for r in values.where(F.col("v").between(low, high)).collect())
+        return fetched[low, high][rank] if low < high else low
+
+    out = []
+    for share in shares:
+        place = share * (n - 1)
+        a = value_at(int(place), low, high, n)
+        b = value_at(min(int(place) + 1, n - 1), low, high, n) if place > int(place) else a
+        out.append(a + (b - a) * (place - int(place)))
+    return out
+
+
 def describe(df: DataFrame, column: str) -> DataFrame:
     """count, mean, std (of a sample), min, exact quartiles with linear interpolation, max."""
-    q = [F.percentile(column, F.lit(p)).alias(n) for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))]
-    return df.agg(
-        F.count(column).alias("count"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"), F.min(column).cast("double").alias("min"), *q, F.max(column).cast("double").alias("max")
-    )
+    named = zip(("p25", "p50", "p75"), quantiles(df, column, (0.25, 0.5, 0.75)), strict=True)
+    found = df.agg(F.count(column).alias("count"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"), F.min(column).cast("double").alias("min"), F.max(column).cast("double").alias("max"))
+    q = [F.lit(v).cast("double").alias(name) for name, v in named]
+    return found.select("count", "mean", "std", "min", *q, "max")
 
 
 def top_k(df: DataFrame, by: str, k: int, ties: Sequence[str]) -> DataFrame:
@@ -76,7 +115,9 @@ def per_vehicle(df: DataFrame, name: str = "n") -> DataFrame:
 
 
 def per_vehicle_summary(df: DataFrame) -> DataFrame:
-    return per_vehicle(df).agg(F.avg("n").alias("mean"), F.median("n").alias("median"), F.max("n").alias("max"))
+    counts = per_vehicle(df)
+    median = F.lit(quantiles(counts, "n", [0.5])[0]).cast("double").alias("median")
+    return counts.agg(F.avg("n").alias("mean"), F.max("n").alias("max")).select("mean", median, "max")
 
 
 def active_share(fused: DataFrame) -> DataFrame:
@@ -194,14 +235,16 @@ def null_profile(df: DataFrame) -> DataFrame:
     return counts.selectExpr(f"stack({len(df.columns)}, {pairs}) as (column_name, nulls)")
 
 
-def heatmap(fused: DataFrame, value: Column, how: str, *, lat: str = "latitude", lon: str = "longitude", edges: int = 50) -> DataFrame:
+def heatmap(fused: DataFrame, value: Column, how: str, *, lat: str = "latitude", lon: str = "longitude", edges: int = 50, over: DataFrame | None = None) -> DataFrame:
     """Per spatial bin (lat_bin, lon_bin) a mean or a sum.
 
     edges equally spaced bounds span the table; bins are half open, so rows on
     the upper bound fall outside. A mean counts the rows whose value is not
     null; its empty bins are absent, as are those of a sum, which stand for 0.
+    over is the table whose bounds count: the positions that fused was made of
+    have the same ones and cost no second join.
     """
-    bounds = fused.agg(F.min(lat).alias("a0"), F.max(lat).alias("a1"), F.min(lon).alias("b0"), F.max(lon).alias("b1"))
+    bounds = (fused if over is None else over).agg(F.min(lat).alias("a0"), F.max(lat).alias("a1"), F.min(lon).alias("b0"), F.max(lon).alias("b1"))
     rows = fused.withColumn("__v", value).where(F.col("__v").isNotNull()).join(F.broadcast(bounds))  # one row
     cell = lambda c, lo, hi: F.floor((F.col(c) - F.col(lo)) * (edges - 1) / F.nullif(F.col(hi) - F.col(lo), F.lit(0.0))).cast("bigint")
     rows = rows.where((F.col(lat) < F.col("a1")) & (F.col(lon) < F.col("b1")))
@@ -227,10 +270,20 @@ def id_share(messages: DataFrame) -> DataFrame:
     )
 
 
-def type_counts_wide(fused: DataFrame, *, column: str = "msg_counts") -> DataFrame:
-    """fused with one bigint column msg_count_<type> per type that occurs, sorted, in place of the map; the types are few and read first."""
-    found = fused.select(F.explode(F.map_keys(column)).alias("t")).distinct().orderBy("t").collect()
-    wide = [F.coalesce(F.try_element_at(column, F.lit(r["t"])), F.lit(0)).cast("bigint").alias(f"msg_count_{r['t']}") for r in found]
+def message_types(messages: DataFrame) -> list[str]:
+    """The types that occur, sorted; they are few."""
+    return [r["message_type"] for r in messages.where("message_type is not null").select("message_type").distinct().orderBy("message_type").collect()]
+
+
+def type_counts_wide(fused: DataFrame, types: Sequence[str] | None = None, *, column: str = "msg_counts") -> DataFrame:
+    """fused with one bigint column msg_count_<type> per type in place of the map.
+
+    types are those of the messages that fused was made of; without them fused is
+    read once more for the types that occur in it, so it had better be written.
+    """
+    if types is None:
+        types = [r["t"] for r in fused.select(F.explode(F.map_keys(column)).alias("t")).distinct().orderBy("t").collect()]
+    wide = [F.coalesce(F.try_element_at(column, F.lit(t)), F.lit(0)).cast("bigint").alias(f"msg_count_{t}") for t in types]
     return fused.select(*[c for c in fused.columns if c != column], *wide)
 
 
@@ -241,7 +294,19 @@ def majority_ids(ids: DataFrame, *, file: str = "file", vehicle: str = "vehicle_
     return best.select(file, F.when(F.col("share") > share, F.col("id")).otherwise("unknown").alias(vehicle))
 
 
+def time_deltas(df: DataFrame, *, slice_ms: int = 3_600_000) -> DataFrame:
+    """delta_s: the seconds between consecutive rows of the whole table in time order, null for the first.
+
+    Rows follow each other within a slice of time; from slice to slice the last
+    and first times do, of which there is one row a slice.
+    """
+    rows = df.select(F.col(TS), floor_div(F.col(TS), slice_ms).alias("slice"))
+    inner = rows.select((F.col(TS) - F.lag(TS).over(Window.partitionBy("slice").orderBy(TS))).alias("d")).where("d is not null")
+    edges = rows.groupBy("slice").agg(F.min(TS).alias("first"), F.max(TS).alias("last"))
+    outer = edges.select((F.col("first") - F.lag("last").over(Window.orderBy("slice"))).alias("d"))
+    return inner.unionByName(outer).select((F.col("d") / 1000.0).alias("delta_s"))
+
+
 def delta_stats(df: DataFrame) -> DataFrame:
     """describe() of the seconds between consecutive rows of the whole table in time order."""
-    w = Window.orderBy(TS, "ordinal")
-    return describe(df.select(((F.col(TS) - F.lag(TS).over(w)) / 1000.0).alias("delta_s")), "delta_s")
+    return describe(time_deltas(df), "delta_s")

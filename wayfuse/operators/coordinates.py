@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from .analytics import quantiles
 
 Origin = tuple[float, float, float]
 METHODS = ("first", "centroid", "median")
@@ -19,8 +20,12 @@ def origin_table(samples: DataFrame, method: str = "first", *, order: tuple[str,
         return found.select(F.col("o.lat_deg").alias("lat"), F.col("o.lon_deg").alias("lon"), F.col("o.alt").alias("alt"))
     if method not in METHODS:
         raise ValueError(f"unknown origin method {method!r}: one of {METHODS}")
-    fn = F.avg if method == "centroid" else F.median
-    return samples.agg(fn("lat_deg").alias("lat"), fn("lon_deg").alias("lon"), fn(alt).alias("alt"))
+    names = {"lat": F.col("lat_deg"), "lon": F.col("lon_deg"), "alt": alt}
+    if method == "centroid":
+        return samples.agg(*[F.avg(c).alias(n) for n, c in names.items()])
+    own = samples.select(*[c.alias(n) for n, c in names.items()])
+    middle = [(quantiles(own, n, [0.5])[0]) for n in names]
+    return samples.sparkSession.createDataFrame([tuple(middle)], "lat double, lon double, alt double")
 
 
 def select_origin(samples: DataFrame, method: str = "first", **kwargs) -> Origin:

@@ -106,14 +106,27 @@ def unique_vehicles(df: DataFrame, vehicle: str = "vehicle_id") -> DataFrame:
     return df.select(vehicle).distinct().orderBy(vehicle)
 
 
-def filter_summary(original: DataFrame, filtered: DataFrame, cols: Cols = Cols()) -> DataFrame:
-    """One row that compares a table with what a filter left of it; shares are 0 where there is nothing to share."""
+def filter_summary(original: DataFrame, filtered: DataFrame | Column, cols: Cols = Cols()) -> DataFrame:
+    """One row that compares a table with what a filter left of it; shares are 0 where there is nothing to share.
 
-    def facts(df: DataFrame, name: str) -> DataFrame:
-        box = [f(c).alias(f"{name}_{n}") for n, f, c in (("min_lon", F.min, cols.lon), ("min_lat", F.min, cols.lat), ("max_lon", F.max, cols.lon), ("max_lat", F.max, cols.lat))]
-        return df.agg(F.count(F.lit(1)).alias(f"{name}_count"), F.countDistinct(cols.vehicle).alias(f"{name}_vehicles"), *box)
+    filtered is the table that is left, or the condition that rows are kept by,
+    which takes one scan. Vehicles are counted by their own rows first.
+    """
+
+    def facts(name: str, kept: Column) -> list[Column]:
+        box = [f(F.when(kept, F.col(c))).alias(f"{name}_{n}") for n, f, c in (("min_lon", F.min, cols.lon), ("min_lat", F.min, cols.lat), ("max_lon", F.max, cols.lon), ("max_lat", F.max, cols.lat))]
+        return [F.count_if(kept).alias(f"{name}_count"), *box]
 
-    both = facts(original, "original").join(facts(filtered, "filtered"))  # one row each
+    def total(rows: DataFrame, name: str) -> list[Column]:
+        sums = [F.sum(f"{name}_count").alias(f"{name}_count"), F.count_if((F.col(f"{name}_count") > 0) & F.col(cols.vehicle).isNotNull()).alias(f"{name}_vehicles")]
+        return [*(F.coalesce(c, F.lit(0)).alias(n) for c, n in zip(sums, (f"{name}_count", f"{name}_vehicles"), strict=True)), *[f(f"{name}_{n}").alias(f"{name}_{n}") for n, f in (("min_lon", F.min), ("min_lat", F.min), ("max_lon", F.max), ("max_lat", F.max))]]
+
+    if isinstance(filtered, Column):
+        rows = original.groupBy(cols.vehicle).agg(*facts("original", F.lit(True)), *facts("filtered", F.coalesce(filtered, F.lit(False))))
+        both = rows.agg(*total(rows, "original"), *total(rows, "filtered"))
+    else:
+        sides = [df.groupBy(cols.vehicle).agg(*facts(n, F.lit(True))) for df, n in ((original, "original"), (filtered, "filtered"))]
+        both = sides[0].agg(*total(sides[0], "original")).join(sides[1].agg(*total(sides[1], "filtered")))  # one row each
     share = lambda a, b: F.coalesce(F.try_divide(F.col(a) * 100.0, F.col(b)), F.lit(0.0))
     lost = F.when(F.col("original_count") > 0, 100.0 - share("filtered_count", "original_count")).otherwise(0.0)
     return both.withColumn("reduction_pct", F.bround(lost, 2)).withColumn(

@@ -16,8 +16,8 @@ from ..functions import geo
 from ..functions.scalars import floor_div
 
 
-def band_join(points: DataFrame, messages: DataFrame, *, half_ms: int, measures: Sequence[Column], vehicle: str = "vehicle_id", ts: str = "timestamp_ms", message_ts: str = "message_ts") -> DataFrame:
-    """Every row of points with measures over the messages of its vehicle within half_ms either way, bounds included.
+def band_join(points: DataFrame, messages: DataFrame, *, half_ms: int, measures: Sequence[Column], by: Sequence[str] = (), vehicle: str = "vehicle_id", ts: str = "timestamp_ms", message_ts: str = "message_ts") -> DataFrame:
+    """Every row of points with measures over the messages of its vehicle within half_ms either way, bounds included; by: columns of messages that part the measures.
 
     points rows must differ (an ordinal makes them). A point falls into at most
     two slices, each message into one, so a pair meets once; measures are summed
@@ -33,7 +33,7 @@ def band_join(points: DataFrame, messages: DataFrame, *, half_ms: int, measures:
     near = right[message_ts].between(left[ts] - half_ms, left[ts] + half_ms)
     right_slice = right["__slice"]
     joined = left.join(right, (left[vehicle] == right["__vehicle"]) & (left["__slice"] == right_slice) & near, "left")
-    return joined.groupBy(*[left[c] for c in own]).agg(*measures)
+    return joined.groupBy(*[left[c] for c in own], *[right[c] for c in by]).agg(*measures)
 
 
 def fuse_topics(points: DataFrame, messages: DataFrame, *, window_ms: int = 1000) -> DataFrame:
@@ -60,15 +60,21 @@ def fuse_records(samples: DataFrame, messages: DataFrame, *, tolerance_ms: int =
     side = side.where(F.col("message_ts").isNotNull())
     total = lambda way: F.coalesce(F.sum(F.when(F.col("direction").contains(way), F.coalesce("payload_bytes", F.lit(0)))), F.lit(0)).cast("bigint")
     measures = [
-        total("uplink").alias("tx_bytes"),
-        total("downlink").alias("rx_bytes"),
-        F.avg("latency_ms").alias("avg_latency_ms"),
-        F.collect_list("message_type").alias("__types"),
+        total("uplink").alias("__tx"),
+        total("downlink").alias("__rx"),
+        F.sum("latency_ms").alias("__latency"),
+        F.count("latency_ms").alias("__timed"),
+        F.count("message_type").alias("__n"),
     ]
     points = samples.select("vehicle_id", "timestamp_ms", "x_m", "y_m")
-    found = band_join(points, side, half_ms=tolerance_ms, measures=measures)
-    counts = F.map_from_entries(F.transform(F.array_sort(F.array_distinct("__types")), lambda t: F.struct(t, F.size(F.filter("__types", lambda x: x == t)).cast("bigint"))))
-    return found.withColumn("msg_counts", counts).drop("__types")
+    found = band_join(points, side, half_ms=tolerance_ms, measures=measures, by=["message_type"])
+    kinds = F.collect_list(F.when(F.col("__n") > 0, F.struct("message_type", "__n")))  # a row for each type
+    return found.groupBy(*points.columns).agg(
+        F.sum("__tx").alias("tx_bytes"),
+        F.sum("__rx").alias("rx_bytes"),
+        F.try_divide(F.sum("__latency"), F.sum("__timed")).alias("avg_latency_ms"),
+        F.map_from_entries(F.array_sort(kinds)).alias("msg_counts"),
+    )
 
 
 def nearest_join(left: DataFrame, right: DataFrame, *, tolerance_ms: int, vehicle: str = "vehicle_id", ts: str = "timestamp_ms", order: str = "ordinal", take: Sequence[str] = ()) -> DataFrame:
@@ -107,17 +113,25 @@ def match_rate(joined: DataFrame, column: str = "match_ts") -> DataFrame:
 def spatiotemporal_match(points: DataFrame, known: DataFrame, *, max_ms: int = 5000, max_m: float = 100.0) -> DataFrame:
     """Positions with the id, time difference and distance of the known vehicle nearest in (time, space), if any within both bounds.
 
-    The equi keys are a slice of time and a band of latitude at least as wide as the bounds.
+    The equi keys are a slice of time, a row of latitude and a cell of longitude,
+    all at least as wide as the bounds; a row has as many cells as fit around it
+    at its end nearer to the pole, so cells meet across 180 degrees too.
     """
     band = max_m / 110_000.0
+    edge = F.least(F.greatest(F.abs(F.col("__row")), F.abs(F.col("__row") + 1)) * (2 * band) + 2 * band, F.lit(90.0))
+    cells = F.greatest(F.lit(1), F.floor(360.0 * F.cos(F.radians(edge)) / (2 * band)))
+    cell = lambda lon: F.pmod(F.floor((lon + 180.0) / (360.0 / F.col("__cells"))), F.col("__cells"))
     reach = F.explode(F.array_distinct(F.array(*[floor_div(F.col("k_ts") + d, 2 * max_ms + 1) for d in (-max_ms, max_ms)])))
     rows = F.explode(F.array_distinct(F.array(*[F.floor((F.col("k_lat") + d) / (2 * band)) for d in (-band, band)])))
     side = known.where(F.col("vehicle_id") != "unknown").select(F.col("vehicle_id").alias("matched_id"), F.col("timestamp_ms").alias("k_ts"), F.col("latitude").alias("k_lat"), F.col("longitude").alias("k_lon"))
-    side = side.withColumn("__slice", reach).withColumn("__row", rows)
+    side = side.withColumn("__slice", reach).withColumn("__row", rows).withColumn("__cells", cells)
+    around = F.array_distinct(F.array(*[cell(F.col("k_lon") + d * (180.0 / F.col("__cells"))) for d in (-1, 1)]))
+    side = side.withColumn("__cell", F.explode(around)).drop("__cells")
     left = points.withColumn("__slice", floor_div(F.col("timestamp_ms"), 2 * max_ms + 1)).withColumn("__row", F.floor(F.col("latitude") / (2 * band)))
+    left = left.withColumn("__cells", cells).withColumn("__cell", cell(F.col("longitude"))).drop("__cells")
     dt = F.abs(F.col("timestamp_ms") - F.col("k_ts"))
     meters = geo.haversine_m(F.col("latitude"), F.col("longitude"), F.col("k_lat"), F.col("k_lon"))
-    pairs = left.join(side, ["__slice", "__row"]).withColumn("dt_ms", dt).withColumn("dist_m", meters).where((F.col("dt_ms") <= max_ms) & (F.col("dist_m") < max_m))
+    pairs = left.join(side, ["__slice", "__row", "__cell"]).withColumn("dt_ms", dt).withColumn("dist_m", meters).where((F.col("dt_ms") <= max_ms) & (F.col("dist_m") < max_m))
     best = pairs.groupBy("ordinal").agg(F.min(F.struct("dt_ms", "dist_m", "matched_id")).alias("b"))
     best = best.select("ordinal", F.col("b.matched_id").alias("matched_id"), F.col("b.dt_ms").alias("dt_ms"), F.col("b.dist_m").alias("dist_m"))
     return points.join(best, "ordinal", "left")

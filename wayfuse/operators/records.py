@@ -151,6 +151,11 @@ def discovery_summary(objects: DataFrame, total_files: int, *, sample: int | Non
     ).select(F.lit(total_files).cast("bigint").alias("total_files"), "*", F.lit(sample).cast("int").alias("sample_limit"))
 
 
+def discovered_vehicles(objects: DataFrame, *, record: str = "record") -> DataFrame:
+    """The distinct vehicle ids as rows, for inputs with more of them than one row should hold."""
+    return objects.select(S.identity(record)[0].alias("vehicle_id")).where("vehicle_id is not null").distinct()
+
+
 def discovery_table(summary: DataFrame) -> DataFrame:
     """The summary as (metric, value) rows."""
     text = lambda c: f"cast({c} as string)"

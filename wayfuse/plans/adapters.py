@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +13,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder of spark.checkpoint.dir; a temporary folder where that is unset, which is right for one machine only."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="wayfuse-")
+    return f"{base.rstrip('/')}/wayfuse-{name}-{uuid.uuid4().hex}"
+
+
+def put_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written by way of Spark's file systems."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def _millis() -> Column:
     return F.unix_millis(F.col("ts").cast("timestamp"))
 

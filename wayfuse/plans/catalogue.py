@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, savgol, scalars
 from ..operators import analytics as an
 from ..operators import coordinates, filters, fusion, trajectory
-from ..sources import side_files
+from ..sources import side_files, tables
 from . import adapters
 from .adapters import SQL, messages, positions, samples, table
 
@@ -86,7 +86,7 @@ FROM near GROUP BY vehicle_id, timestamp_ms"""
 def fuse_record_metrics(spark, d):
     side = messages(spark, d).select("vehicle_id", F.col("timestamp_ms").alias("timestamp_utc_ms"), "message_type", F.col("message_size_bytes").alias("payload_bytes"), "direction", "latency_ms")
     found = fusion.fuse_records(samples(spark, d), side, tolerance_ms=TOLERANCE_MS)
-    return rounded(an.type_counts_wide(found).drop("x_m", "y_m"))
+    return rounded(an.type_counts_wide(found, an.message_types(side)).drop("x_m", "y_m"))
 
 
 _NEAREST = """, back AS (SELECT m.ordinal, max(struct_pack(t := p.timestamp_ms, o := p.ordinal)) AS b FROM msg m JOIN pos p
@@ -126,11 +126,18 @@ def spatiotemporal_match(spark, d):
 # --- filters --------------------------------------------------------------
 
 _IN = f"(longitude BETWEEN {BBOX[0]} AND {BBOX[2]} AND latitude BETWEEN {BBOX[1]} AND {BBOX[3]})"
-_EDGES = ", ".join(f"({x1}::DOUBLE, {y1}::DOUBLE, {x2}::DOUBLE, {y2}::DOUBLE)" for (x1, y1), (x2, y2) in zip(RING[:-1], RING[1:], strict=True))
-_POLY = f""", e(x1, y1, x2, y2) AS (VALUES {_EDGES}),
+#: Nearly all positions, but for a notch.
+NOTCHED = [(5.9, 49.9), (7.1, 49.9), (7.1, 51.1), (6.59371, 51.1), (6.50113, 50.90337), (6.40239, 51.1), (5.9, 51.1), (5.9, 49.9)]
+
+
+def _poly(ring) -> str:
+    edges = ", ".join(f"({x1}::DOUBLE, {y1}::DOUBLE, {x2}::DOUBLE, {y2}::DOUBLE)" for (x1, y1), (x2, y2) in zip(ring[:-1], ring[1:], strict=True))
+    return f""", e(x1, y1, x2, y2) AS (VALUES {edges}),
 inside AS (SELECT p.ordinal, sum(CASE WHEN (y1 > latitude) <> (y2 > latitude) AND longitude < (x2 - x1) * (latitude - y1) / (y2 - y1) + x1 THEN 1 ELSE 0 END) % 2 = 1
   AND NOT bool_or((longitude - x1) * (y2 - y1) = (latitude - y1) * (x2 - x1) AND longitude BETWEEN least(x1, x2) AND greatest(x1, x2) AND latitude BETWEEN least(y1, y2) AND greatest(y1, y2)) AS i
   FROM pos p CROSS JOIN e GROUP BY p.ordinal), pi AS (SELECT pos.*, i FROM pos JOIN inside USING (ordinal))"""
+
+
 _KEEP = {
     "intersect": "SELECT ordinal, vehicle_id FROM {t} WHERE {i}",
     "contain": "SELECT ordinal, vehicle_id FROM {t} WHERE vehicle_id IN (SELECT vehicle_id FROM {t} GROUP BY 1 HAVING bool_and({i}))",
@@ -147,12 +154,14 @@ def _filter_queries() -> None:
         def bbox(spark, d, mode=mode, box=box):
             return filters.filter_bbox(positions(spark, d), box, mode).select("ordinal", "vehicle_id")
 
-        def polygon(spark, d, mode=mode):
-            return filters.filter_polygon(positions(spark, d), RING, mode).select("ordinal", "vehicle_id")
+        ring = NOTCHED if mode == "contain" else RING
+
+        def polygon(spark, d, mode=mode, ring=ring):
+            return filters.filter_polygon(positions(spark, d), ring, mode).select("ordinal", "vehicle_id")
 
         bbox.__name__, polygon.__name__ = f"bbox_{mode}", f"polygon_{mode}"
         query(sql.format(t="pos", i=inside))(bbox)
-        query(_POLY + sql.format(t="pi", i="i"))(polygon)
+        query(_poly(ring) + sql.format(t="pi", i="i"))(polygon)
 
 
 _filter_queries()
@@ -166,6 +175,12 @@ SELECT oc AS original_count, ov AS original_vehicles, o.a AS original_min_lon, o
   round(CASE WHEN oc > 0 THEN 100 - fc * 100.0::DOUBLE / oc ELSE 0 END, 2) AS reduction_pct, round(coalesce(fv * 100.0::DOUBLE / nullif(ov, 0), 0), 2) AS vehicle_retention_pct FROM o, g"""
 )
 def filter_summary(spark, d):
+    p = positions(spark, d)
+    return rounded(filters.filter_summary(p, geo.in_bbox(F.col("latitude"), F.col("longitude"), BBOX)))
+
+
+@query(ORACLE["filter_summary"])
+def filter_summary_tables(spark, d):
     p = positions(spark, d)
     return rounded(filters.filter_summary(p, filters.filter_bbox(p, BBOX)))
 
@@ -337,6 +352,14 @@ def utm_project(spark, d):
     return rounded(coordinates.to_utm(samples(spark, d), order=_ORDER).select("ordinal", "x_m", "y_m"), 4)
 
 
+@query(
+    ", src AS (SELECT ordinal, latitude, longitude, 32 AS zone FROM pos UNION ALL SELECT -1, 50.5::DOUBLE, 6.5::DOUBLE, 32)"
+    + f", f AS ({_utm_sql('latitude', 'longitude', 'zone')}) SELECT f.ordinal, round(f.x_m - o.x_m, 3) + 0.0 AS x_m, round(f.y_m - o.y_m, 3) + 0.0 AS y_m FROM f, f o WHERE o.ordinal = -1 AND f.ordinal >= 0"
+)
+def utm_relative(spark, d):
+    return rounded(coordinates.to_utm(samples(spark, d), 50.5, 6.5).select("ordinal", "x_m", "y_m"), 3)
+
+
 @query("SELECT ordinal, round(latitude, 8) AS latitude, round(longitude, 8) AS longitude FROM pos")
 def utm_round_trip(spark, d):
     p, south = positions(spark, d), F.lit(False)
@@ -425,12 +448,12 @@ h AS (SELECT CAST(floor((latitude - a0) * 49 / (a1 - a0)) AS BIGINT) AS lat_bin,
 
 @query(_HEAT + " SELECT lat_bin, lon_bin, round(avg(avg_latency_ms), 6) AS value, count(*) AS rows FROM h WHERE avg_latency_ms IS NOT NULL GROUP BY 1, 2")
 def latency_heatmap(spark, d):
-    return rounded(an.heatmap(fused(spark, d), F.col("avg_latency_ms"), "mean"))
+    return rounded(an.heatmap(fused(spark, d), F.col("avg_latency_ms"), "mean", over=positions(spark, d)))
 
 
 @query(_HEAT + " SELECT lat_bin, lon_bin, CAST(sum(total_bytes_sent) AS BIGINT) AS value, count(*) AS rows FROM h GROUP BY 1, 2")
 def throughput_heatmap(spark, d):
-    return an.heatmap(fused(spark, d), F.col("total_bytes_sent"), "sum")
+    return an.heatmap(fused(spark, d), F.col("total_bytes_sent"), "sum", over=positions(spark, d))
 
 
 _WAYS = "CASE WHEN direction = 'uplink_to_rsu' THEN message_size_bytes ELSE 0 END AS tx_bytes, CASE WHEN direction = 'downlink_from_rsu' THEN message_size_bytes ELSE 0 END AS rx_bytes"
@@ -692,17 +715,338 @@ def identity_map_join(spark, d):
     return side_files.apply_identity_map(messages(spark, d), {"1": "v1", "2": "v2", "3": "v3"}).select("ordinal", "vehicle_id")
 
 
-@query()
+@query("SELECT m.ordinal, m.receiver_id AS rsu_id, r.lat AS rsu_lat, r.lon AS rsu_lon FROM msg m LEFT JOIN (VALUES ('1', 50.5::DOUBLE, 6.5::DOUBLE), ('2', NULL, NULL)) r(id, lat, lon) ON r.id = m.receiver_id")
+def rsu_join(spark, d):
+    rsus = {"1": {"location": {"lat": 50.5, "lon": 6.5}}, "2": {"name": "nowhere"}}
+    return side_files.with_rsus(messages(spark, d).withColumnRenamed("receiver_id", "rsu_id"), rsus).select("ordinal", "rsu_id", "rsu_lat", "rsu_lon")
+
+
+@query(_poly(RING) + _KEEP["first"].format(t="pi", i="i"))
+def polygon_file(spark, d):
+    """A region from a GeoJSON file, here the first feature of a collection, of whose polygon holes are ignored."""
+    import json
+    import os
+    import tempfile
+
+    hole = [[6.4, 50.3], [6.5, 50.3], [6.5, 50.4], [6.4, 50.3]]
+    shape = {"type": "FeatureCollection", "features": [{"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [RING, hole]}}]}
+    with tempfile.NamedTemporaryFile("w", suffix=".geojson", delete=False) as out:  # the driver alone reads it
+        json.dump(shape, out)
+    found = filters.filter_polygon_file(positions(spark, d), out.name, "first")
+    os.unlink(out.name)
+    return found.select("ordinal", "vehicle_id")
+
+
+@query(_poly(RING) + _KEEP["intersect"].format(t="pi", i="i"))
+def polygon_geometry(spark, d):
+    ring = side_files.geojson_ring({"type": "Feature", "geometry": {"type": "MultiPolygon", "coordinates": [[RING], [NOTCHED]]}})
+    return filters.filter_polygon(positions(spark, d), ring).select("ordinal", "vehicle_id")
+
+
+# Aliases: every name of a field in turn.
+
+
+def _aliased(spark: SparkSession, d: str) -> DataFrame:
+    i, k = F.col("event_id"), F.get_json_object("props", "$.k").cast("int")
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    member = lambda name, value: F.concat(F.lit('"'), name, F.lit('":'), value.cast("string"))
+    turn = lambda names: F.element_at(F.array(*map(F.lit, names)), (i % len(names) + 1).cast("int"))
+    quote = lambda c: F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
+    parts = [
+        member(turn(scalars.VEHICLE_ID), quote(F.col("user_id"))),
+        member(F.lit("timestamp"), ms),
+        member(turn(scalars.LATITUDE), F.lit(50) + k / F.lit(128.0)),
+        member(turn(scalars.LONGITUDE), F.lit(6.5)),
+        F.when(k > 10, member(turn(scalars.ALTITUDE), k)),
+        F.when(k > 20, member(turn(scalars.SPEED), k / F.lit(4.0))),
+        member(turn(scalars.HEADING), i % 360),
+        F.when(k > 30, member(turn(scalars.STATION_TYPE), quote(i % 5))),
+        F.when(k > 40, member(turn(scalars.RSU_ID), quote(F.concat(F.lit("R"), i % 7)))),
+        member(turn(scalars.MESSAGE_TYPE), quote(F.col("event_type"))),
+        F.when(k > 50, member(F.lit("frame_bytes"), k + 100)),
+    ]
+    text = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    return table(spark, d, "events").select(F.lit("events").alias("file"), i.alias("ordinal"), F.parse_json(text).alias("record"))
+
+
+_ALIASED = "WITH r AS (SELECT event_id AS ordinal, event_type, CAST(user_id AS VARCHAR) AS vehicle_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(epoch_us(ts) // 1000 AS BIGINT) AS timestamp_utc_ms FROM events)"
+
+
+@query(
+    _ALIASED
+    + """ SELECT ordinal, vehicle_id, timestamp_utc_ms, 50 + k / 128.0::DOUBLE AS latitude_deg, 6.5::DOUBLE AS longitude_deg, CASE WHEN k > 10 THEN CAST(k AS DOUBLE) END AS altitude_m,
+  CASE WHEN k > 20 THEN k / 4.0::DOUBLE END AS speed_mps, CAST(ordinal % 360 AS DOUBLE) AS heading_deg, CASE WHEN k > 30 THEN CAST(ordinal % 5 AS VARCHAR) END AS station_type FROM r"""
+)
+def parse_gnss_aliases(spark, d):
+    from ..operators.records import parse_gnss as parse
+
+    return parse(_aliased(spark, d)).select("ordinal", "vehicle_id", "timestamp_utc_ms", "latitude_deg", "longitude_deg", "altitude_m", "speed_mps", "heading_deg", "station_type")
+
+
+@query(
+    _ALIASED
+    + """ SELECT ordinal, vehicle_id, timestamp_utc_ms, CASE WHEN k > 30 THEN CAST(ordinal % 5 AS VARCHAR) END AS station_type, CASE WHEN k > 40 THEN 'R' || CAST(ordinal % 7 AS VARCHAR) END AS rsu_id,
+  event_type AS message_type, CASE WHEN k > 50 THEN k + 100 ELSE -1 END AS frame_bytes FROM r"""
+)
+def parse_v2x_aliases(spark, d):
+    from ..operators.records import parse_messages as parse
+
+    return parse(_aliased(spark, d)).select("ordinal", "vehicle_id", "timestamp_utc_ms", "station_type", "rsu_id", "message_type", filled("frame_bytes"))
+
+
+@query(_ALIASED + " SELECT DISTINCT vehicle_id FROM r WHERE vehicle_id <> ''")
+def discovered_vehicles(spark, d):
+    from ..operators.records import discovered_vehicles as found
+
+    return found(_aliased(spark, d))
+
+
+@query(
+    _RAW
+    + """, c AS (SELECT count(*) FILTER (ordinal % 3 = 0) AS g, count(*) FILTER (ordinal % 3 = 1) AS v, count(*) FILTER (ordinal % 3 = 2) AS o,
+  count(DISTINCT CASE WHEN ordinal % 2 = 0 OR vehicle_id <> '0' THEN vehicle_id END) AS n, string_agg(DISTINCT CASE WHEN ordinal % 3 = 1 THEN event_type END, ', ' ORDER BY CASE WHEN ordinal % 3 = 1 THEN event_type END) AS t FROM r)
+SELECT unnest(['Total files', 'GNSS records', 'V2X records', 'Other records', 'Unique vehicles', 'Message types', 'Sample limit']) AS metric,
+  unnest(['1', CAST(g AS VARCHAR), CAST(v AS VARCHAR), CAST(o AS VARCHAR), CAST(n AS VARCHAR), t, 'none']) AS value FROM c"""
+)
+def discovery_table(spark, d):
+    from ..operators import records
+
+    return records.discovery_table(records.discovery_summary(_objects(spark, d), 1))
+
+
+# --- reading JSON -----------------------------------------------------------
+
+
+def _shaped(spark: SparkSession, d: str) -> DataFrame:
+    """Texts of files, one per user: by the user's number an array, JSON Lines, one object, or no JSON."""
+    u, i = F.col("user_id"), F.col("event_id")
+    record = F.concat(F.lit('{"stationID": "'), u.cast("string"), F.lit('", "n": '), i.cast("string"), F.lit("}"))
+    rows = table(spark, d, "events").groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("event_id", record.alias("r")))), lambda x: x["r"]).alias("r"))
+    first, rest = F.element_at("r", 1), F.slice("r", 2, 1 << 30)
+    array = F.concat(F.lit("[5, "), F.array_join("r", ",\n "), F.lit("]"))
+    lines = F.concat(first, F.lit("\n\n"), F.array_join(rest, "\n"), F.lit('\n{"broken'))
+    alone = F.replace(first, F.lit(", "), F.lit(",\n"))
+    value = F.when(u % 4 == 0, array).when(u % 4 == 1, lines).when(u % 4 == 2, alone).otherwise("no JSON at all")
+    return rows.select(F.concat(F.lit("f"), u).alias("file"), value.alias("value"))
+
+
+_READ = """WITH e AS (SELECT user_id AS u, event_id AS n, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),
+o AS (SELECT 'f' || CAST(u AS VARCHAR) AS file, u % 4 AS shape, CASE u % 4 WHEN 0 THEN rn WHEN 1 THEN CASE WHEN rn = 1 THEN 0 ELSE rn END ELSE 0 END AS ordinal, CAST(u AS VARCHAR) AS id, n, rn FROM e WHERE u % 4 < 2 OR (u % 4 = 2 AND rn = 1))"""
+
+
+def _read(spark, d, **how):
+    from ..sources import json_records
+
+    found = json_records.read_objects(_shaped(spark, d), **how)
+    return found.select("file", "ordinal", scalars.get("record", "stationID").alias("id"), scalars.get("record", "n", "bigint").alias("n"))
+
+
+@query(_READ + " SELECT file, CAST(ordinal AS BIGINT) AS ordinal, id, n FROM o")
+def read_shapes(spark, d):
+    return _read(spark, d)
+
+
+@query(_READ + " SELECT file, CAST(ordinal AS BIGINT) AS ordinal, id, n FROM o WHERE rn <= 3")
+def read_sampled(spark, d):
+    return _read(spark, d, sample=3)
+
+
+@query("SELECT DISTINCT 'f' || CAST(user_id AS VARCHAR) AS file FROM events WHERE user_id % 4 = 3")
+def broken_files(spark, d):
+    from ..sources import json_records
+
+    return json_records.broken_files(_shaped(spark, d))
+
+
+@query("WITH n AS (SELECT * FROM nation WHERE n_regionkey < 3) SELECT 'm' || CAST(n_regionkey AS VARCHAR) AS file, CAST(n_nationkey AS VARCHAR) AS id FROM n")
+def read_line_files(spark, d):
+    """JSON Lines that are split by line."""
+    from ..sources import json_records
+
+    base = adapters.scratch(spark, "lines")
+    for r in range(3):
+        rows = table(spark, d, "nation").where(F.col("n_regionkey") == r).select("n_nationkey").collect()
+        adapters.put_file(spark, f"{base}/deep/m{r}.json", "\n".join(f'{{"id": "{x[0]}"}}' for x in rows) + "\n\n[1]\nbroken")
+    found = json_records.read_lines(spark, base)
+    return found.select(F.regexp_extract("file", "([^/]*)[.]json$", 1).alias("file"), scalars.get("record", "id").alias("id"))
+
+
+@query(
+    """WITH f(path, mobile, kind) AS (VALUES ('Mobile/a/scenarios/s1.json', true, 'scenarios'), ('Mobile/a/joined.json', true, 'joined'), ('Fixed/b/scenarios/s2.json', false, 'scenarios'), ('Fixed/b/joined.json', false, 'joined'), ('top.json', false, 'none')),
+m(mode) AS (VALUES ('all'), ('scenarios'), ('joined'), ('smart'))
+SELECT mode, path, 'v' || path AS id FROM f, m WHERE mode = 'all' OR mode = kind OR (mode = 'smart' AND kind = CASE WHEN mobile THEN 'scenarios' ELSE 'joined' END)"""
+)
+def files_by_mode(spark, d):
+    from ..sources import json_records
+
+    base = adapters.scratch(spark, "modes")
+    for name in ("Mobile/a/scenarios/s1.json", "Mobile/a/joined.json", "Fixed/b/scenarios/s2.json", "Fixed/b/joined.json", "top.json", "top.txt"):
+        adapters.put_file(spark, f"{base}/{name}", f'[{{"id": "v{name}"}}]')
+    out = None
+    for mode in json_records.MODES:
+        objects = json_records.read_objects(json_records.read_files(spark, base, mode=mode))
+        found = objects.select(F.lit(mode).alias("mode"), F.substring_index("file", base.rpartition("/")[2] + "/", -1).alias("path"), scalars.get("record", "id").alias("id"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+# --- topic documents --------------------------------------------------------
+
+
+def _topic_files(spark: SparkSession, d: str) -> DataFrame:
+    """A topic document per user; a third of them name a second id too often for the first to be taken."""
+    i, u = F.col("event_id"), F.col("user_id")
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    ns = F.unix_micros(F.col("ts").cast("timestamp")) * 1000
+    k = F.get_json_object("props", "$.k").cast("int")
+    other = ((u % 3 == 0) & (i % 4 == 0)) | ((u % 3 == 1) & (i % 10 == 0))
+    sid = u + F.when(other, 1000).otherwise(0)
+    frame = F.when(i % 3 == 0, ', "frame_id": "rsu7"').otherwise("")
+    address = text('"10.0.0.', i % 200, '"')
+    by_type = {
+        "view": ("/gps/cohda/fix", text('{"latitude": ', F.lit(50) + k / F.lit(128.0), ', "longitude": 6.5, "altitude": 100.0}')),
+        "click": ("/gnss", text('{"latitude": ', F.lit(51) + k / F.lit(128.0), ', "longitude": 6.25}')),
+        "purchase": ("/v2x/cam", text('{"header": {"message_id": 2, "station_id": {"value": ', sid, "}", frame, '}, "cam": {}}')),
+        "signup": ("/v2x/denm", text('{"header": {"station_id": {"value": ', sid, '}}, "denm": {}}')),
+        "error": ("/v2x/raw", F.when(i % 2 == 0, text('{"address": {"value": ', address, '}, "data": []}')).otherwise(text('{"address": ', address, ', "data": [1, 2]}'))),
+    }
+    topic, message = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for kind, (name, body) in by_type.items():
+        topic, message = F.when(F.col("event_type") == kind, name).otherwise(topic), F.when(F.col("event_type") == kind, body).otherwise(message)
+    topic = F.when(i % 17 == 0, "/other/status").otherwise(topic)
+    entry = text('{"recording_timestamp_nsec": ', ns, ', "message": ', message, "}")
+    rows = table(spark, d, "events").select(text("u", u).alias("file"), topic.alias("topic"), i.alias("i"), entry.alias("e"))
+    joined = rows.groupBy("file", "topic").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "e"))), lambda x: x["e"]), ",\n").alias("e"))
+    member = text('"', F.col("topic"), '": [', F.col("e"), "]")
+    return joined.groupBy("file").agg(F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list(member)), ",\n"), F.lit("}")).alias("value"))
+
+
+_TOPICS = """WITH e AS (SELECT event_id AS i, user_id AS u, event_type AS t, CAST(epoch_us(ts) // 1000 AS BIGINT) AS timestamp_ms, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+  user_id + CASE WHEN (user_id % 3 = 0 AND event_id % 4 = 0) OR (user_id % 3 = 1 AND event_id % 10 = 0) THEN 1000 ELSE 0 END AS sid FROM events WHERE event_id % 17 <> 0),
+c AS (SELECT u, sid, count(*) AS n FROM e WHERE t IN ('purchase', 'signup') AND sid <> 0 GROUP BY 1, 2),
+ids AS (SELECT u, CASE WHEN max(n) / CAST(sum(n) AS DOUBLE) > 0.8 THEN CAST(arg_max(sid, n) AS VARCHAR) ELSE 'unknown' END AS id FROM c GROUP BY 1),
+pos AS (SELECT i, coalesce(id, 'unknown') AS vehicle_id, timestamp_ms, CASE t WHEN 'view' THEN 50 ELSE 51 END + k / 128.0::DOUBLE AS latitude, CASE t WHEN 'view' THEN 6.5 ELSE 6.25 END::DOUBLE AS longitude,
+  CASE t WHEN 'view' THEN 100.0::DOUBLE END AS altitude, CASE t WHEN 'view' THEN '/gps/cohda/fix' ELSE '/gnss' END AS topic FROM e LEFT JOIN ids USING (u) WHERE t IN ('view', 'click')),
+said AS (SELECT *, CASE t WHEN 'purchase' THEN '{"header": {"message_id": 2, "station_id": {"value": ' || sid || '}' || CASE WHEN i % 3 = 0 THEN ', "frame_id": "rsu7"' ELSE '' END || '}, "cam": {}}'
+  WHEN 'signup' THEN '{"header": {"station_id": {"value": ' || sid || '}}, "denm": {}}'
+  ELSE CASE WHEN i % 2 = 0 THEN '{"address": {"value": "10.0.0.' || (i % 200) || '"}, "data": []}' ELSE '{"address": "10.0.0.' || (i % 200) || '", "data": [1, 2]}' END END AS body FROM e WHERE t NOT IN ('view', 'click')),
+msg AS (SELECT timestamp_ms, CASE WHEN t = 'error' OR sid = 0 THEN 'unknown' ELSE CAST(sid AS VARCHAR) END AS vehicle_id, CASE t WHEN 'purchase' THEN 'CAM' WHEN 'signup' THEN 'DENM' ELSE 'UNKNOWN' END AS message_type,
+  length(body) AS message_size_bytes, CASE WHEN t = 'purchase' AND i % 3 = 0 THEN 'rsu7' WHEN t = 'error' THEN '10.0.0.' || (i % 200) END AS receiver_id,
+  CASE t WHEN 'purchase' THEN '/v2x/cam' WHEN 'signup' THEN '/v2x/denm' ELSE '/v2x/raw' END AS topic FROM said)"""
+
+
+def _topic_rows(spark, d, **how):
+    from .runs import topic_rows
+
+    return topic_rows(_topic_files(spark, d), **how)
+
+
+@query(_TOPICS + " SELECT vehicle_id, timestamp_ms, latitude, longitude, altitude, topic FROM pos")
+def topic_positions(spark, d):
+    return _topic_rows(spark, d)[0].select("vehicle_id", "timestamp_ms", "latitude", "longitude", "altitude", "topic")
+
+
+@query(_TOPICS + " SELECT timestamp_ms, vehicle_id, message_type, CAST(message_size_bytes AS BIGINT) AS message_size_bytes, vehicle_id AS sender_id, receiver_id, topic FROM msg")
+def topic_messages(spark, d):
+    return _topic_rows(spark, d)[1].select("timestamp_ms", "vehicle_id", "message_type", "message_size_bytes", "sender_id", "receiver_id", "topic")
+
+
+@query(_TOPICS + " SELECT nullif(vehicle_id, 'unknown') AS vehicle_id, timestamp_ms, latitude, topic FROM pos WHERE topic = '/gnss'")
+def topic_demo(spark, d):
+    return _topic_rows(spark, d, demo=True)[0].select("vehicle_id", "timestamp_ms", "latitude", "topic")
+
+
+@query(
+    _TOPICS
+    + """ SELECT p.timestamp_ms, p.vehicle_id, p.latitude, p.longitude, p.altitude, count(m.timestamp_ms) AS messages_sent, CAST(coalesce(sum(m.message_size_bytes), 0) AS BIGINT) AS total_bytes_sent,
+  coalesce(string_agg(DISTINCT m.message_type, ',' ORDER BY m.message_type), '') AS message_types
+FROM pos p LEFT JOIN msg m ON m.vehicle_id = p.vehicle_id AND m.timestamp_ms BETWEEN p.timestamp_ms - 3600000 AND p.timestamp_ms + 3600000 GROUP BY p.i, 1, 2, 3, 4, 5"""
+)
 def topic_ingest(spark, d):
-    """Topic documents made of the events, one per day, taken through the topic plan to fused rows."""
-    from .runs import topic_tables
-
-    day = F.date_format("ts", "yyyy-MM-dd")
-    ns = (F.unix_micros(F.col("ts").cast("timestamp")) * 1000).cast("string")
-    k = F.get_json_object("props", "$.k")
-    gps = F.concat(F.lit('{"recording_timestamp_nsec": '), ns, F.lit(', "message": {"latitude": 50.'), k, F.lit(', "longitude": 6.5, "altitude": 100.0}}'))
-    cam = F.concat(F.lit('{"recording_timestamp_nsec": '), ns, F.lit(', "message": {"header": {"message_id": 2, "station_id": {"value": '), F.col("user_id").cast("string"), F.lit('}}, "cam": {}}}'))
-    rows = table(spark, d, "events").select(day.alias("file"), F.when(F.col("event_type").isin("view", "click"), gps).alias("g"), F.when(F.col("event_type") == "purchase", cam).alias("c"))
-    docs = rows.groupBy("file").agg(F.array_join(F.array_sort(F.collect_list("g")), ",\n").alias("g"), F.array_join(F.array_sort(F.collect_list("c")), ",\n").alias("c"))
-    docs = docs.select("file", F.concat(F.lit('{"/gps/fix": ['), "g", F.lit('],\n"/v2x/cam": ['), "c", F.lit("]}")).alias("value"))
-    return topic_tables(docs, window_ms=60_000)["fused_data"]
+    """Topic documents taken through the topic plan, by way of landed rows, to fused rows."""
+    from .runs import _landed, topic_tables
+
+    base = adapters.scratch(spark, "topics")
+    landed = [_landed(df, f"{base}/{n}") for n, df in zip(("gnss", "v2x"), _topic_rows(spark, d), strict=True)]
+    found = topic_tables(*landed, window_ms=WINDOW_MS)["fused_data"]
+    return found.select("timestamp_ms", "vehicle_id", "latitude", "longitude", "altitude", "messages_sent", "total_bytes_sent", "message_types")
+
+
+# --- writing and reading back -----------------------------------------------
+
+_WRITTEN = ("timestamp_ms", "vehicle_id", "message_type", "message_size_bytes", "sender_id", "receiver_id", "latency_ms")
+_WRITTEN_SQL = f"SELECT {', '.join(_WRITTEN)} FROM msg"
+
+
+@query(_WRITTEN_SQL)
+def write_read_parquet(spark, d):
+    base = adapters.scratch(spark, "results")
+    tables.write_results({"v2x_messages": messages(spark, d)}, base)
+    return tables.read_results(spark, base, "v2x_messages", _WRITTEN)
+
+
+@query(_WRITTEN_SQL)
+def write_read_csv(spark, d):
+    path = f"{adapters.scratch(spark, 'results')}/v2x_messages.csv"
+    found = messages(spark, d).select(*_WRITTEN)
+    tables.write(found, path, "csv")
+    return spark.read.schema(found.schema).option("header", True).csv(path)
+
+
+@query(_WRITTEN_SQL + " WHERE message_type = 'CAM'")
+def write_read_partitioned(spark, d):
+    path = f"{adapters.scratch(spark, 'results')}/by_type.parquet"
+    tables.write(messages(spark, d).select(*_WRITTEN), path, partition_by=["message_type"])
+    return spark.read.parquet(path).where("message_type = 'CAM'").select(*_WRITTEN)
+
+
+@query(ORACLE["trajectory_samples"])
+def export_samples(spark, d):
+    path = f"{adapters.scratch(spark, 'export')}/trajectories.parquet"
+    tables.export_samples(trajectory.trajectory_samples(positions(spark, d), step_ms=STEP_MS, gap_ms=GAP_MS), path)
+    return rounded(spark.read.parquet(path).drop("x_m", "y_m"))
+
+
+def _record_fusion(spark, d):
+    side = messages(spark, d).select("vehicle_id", F.col("timestamp_ms").alias("timestamp_utc_ms"), "message_type", F.col("message_size_bytes").alias("payload_bytes"), "direction", "latency_ms")
+    return fusion.fuse_records(samples(spark, d), side, tolerance_ms=TOLERANCE_MS), an.message_types(side)
+
+
+@query(ORACLE["fuse_record_metrics"])
+def export_fused(spark, d):
+    path = f"{adapters.scratch(spark, 'export')}/fused.parquet"
+    found, types = _record_fusion(spark, d)
+    tables.export_fused(found, path, types)
+    return rounded(spark.read.parquet(path).drop("x_m", "y_m"))
+
+
+_BYTES = ", ".join(f"CAST(coalesce(sum(m.message_size_bytes) FILTER (m.direction = '{way}'), 0) AS BIGINT) AS {name}" for way, name in (("uplink_to_rsu", "tx_bytes"), ("downlink_from_rsu", "rx_bytes")))
+
+
+@query(f"SELECT p.vehicle_id, p.timestamp_ms, {_BYTES} FROM pos p LEFT JOIN msg m ON m.vehicle_id = p.vehicle_id AND m.timestamp_ms BETWEEN p.timestamp_ms - 3600000 AND p.timestamp_ms + 3600000 GROUP BY 1, 2")
+def export_csv(spark, d):
+    base = adapters.scratch(spark, "export")
+    tables.export_csv(base, fused=_record_fusion(spark, d)[0])
+    found = spark.read.option("header", True).schema("vehicle_id string, timestamp_ms bigint, x_m double, y_m double, tx_bytes bigint, rx_bytes bigint").csv(f"{base}/fused.csv")
+    return found.drop("x_m", "y_m")
+
+
+@query("SELECT 'UTM' AS crs, 50.5::DOUBLE AS origin_lat_deg, 6.5::DOUBLE AS origin_lon_deg, CAST(10 AS INTEGER) AS hz, CAST(NULL AS VARCHAR) AS notes FROM (SELECT 1) WHERE true")
+def run_metadata(spark, d):
+    path = adapters.scratch(spark, "metadata")
+    tables.metadata(spark, crs="UTM", origin_lat_deg=50.5, origin_lon_deg=6.5, hz=10).write.json(path)
+    found = spark.read.schema(tables.METADATA).json(path)
+    return found.select("crs", "origin_lat_deg", "origin_lon_deg", "hz", "notes")
+
+
+@query(ORACLE["valid_vehicle_stats"])
+def written_report(spark, d):
+    """The three result tables written, then the report made of them, of which the vehicles are read back."""
+    from . import runs
+
+    base = adapters.scratch(spark, "report")
+    made = {"trajectories": positions(spark, d), "v2x_messages": messages(spark, d), "fused_data": fused(spark, d)}
+    tables.write_results(made, base)
+    runs.write_report(spark, base)
+    schema = "vehicle_id string, msg_count bigint, total_bytes bigint, mean_bytes double, first_ms bigint, last_ms bigint, duration_hours double"
+    return rounded(spark.read.option("header", True).schema(schema).csv(f"{base}/vehicle_statistics.csv"))

@@ -19,25 +19,34 @@ def discover(spark: SparkSession, input_dir: str, sample: int | None = None) ->
     return records.discovery_summary(json_records.read_objects(files, sample=sample), total, sample=sample)
 
 
-def topic_tables(files: DataFrame, *, window_ms: int = 1000, compat: bool = False, demo: bool = False) -> dict[str, DataFrame]:
-    """trajectories, v2x_messages and fused_data of topic documents (file, value); a document that doesn't parse yields nothing."""
+def topic_rows(files: DataFrame, *, compat: bool = False, demo: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Positions and messages of topic documents (file, value), with file and ordinal; a document that doesn't parse yields nothing."""
     docs = files.select("file", json_records.message_sizes("value").alias("sizes"), F.try_parse_json("value").alias("v"))
     entries = json_records.topic_records(docs.where(F.col("v").isNotNull()), ["file", "sizes"])
     ids = analytics.majority_ids(records.entry_ids(entries))
     points = records.topic_positions(entries, ids, compat=compat, demo=demo)
-    messages = records.topic_messages(entries, compat=compat, demo=demo)
+    return points, records.topic_messages(entries, compat=compat, demo=demo)
+
+
+def topic_tables(points: DataFrame, messages: DataFrame, *, window_ms: int = 1000) -> dict[str, DataFrame]:
+    """trajectories, v2x_messages and fused_data of what topic_rows gives."""
     numbered = points.withColumn("ordinal", F.struct("file", "topic", "ordinal"))
     fused = fusion.fuse_topics(numbered, messages, window_ms=window_ms).drop("ordinal")
     return {"trajectories": points.drop("file", "ordinal"), "v2x_messages": messages.drop("file", "ordinal"), "fused_data": fused}
 
 
 def run_topics(spark: SparkSession, input_dir: str, output_dir: str, *, fmt: str = "parquet", scenario_dirs: Sequence[str] | None = None, mode: str = "scenarios", window_ms: int = 1000) -> DataFrame:
-    """Writes the three tables and returns the run's statistics; fusion reads the written tables back."""
+    """Writes the three tables and returns the run's statistics.
+
+    Positions and messages are landed first, so documents are parsed once for
+    each of the two, and fusion, results and statistics read the landed rows.
+    """
     if scenario_dirs is None:
         files = json_records.read_files(spark, input_dir, mode=mode)
     else:
         files = json_records.read_files(spark, json_records.scenario_paths(input_dir, scenario_dirs))
-    found = topic_tables(files, window_ms=window_ms)
+    landed = (_landed(df, f"{output_dir}/_landed/{name}") for name, df in zip(("gnss", "v2x"), topic_rows(files), strict=True))
+    found = topic_tables(*landed, window_ms=window_ms)
     for name in ("trajectories", "v2x_messages", "fused_data"):
         tables.write(found[name], f"{output_dir}/{name}.{fmt}", fmt)
     if fmt == "parquet":
@@ -78,18 +87,31 @@ def run_records(spark: SparkSession, config: side_files.PipelineConfig, *, step_
     samples = land(trajectory.trajectory_samples(named, step_ms=step_ms, gap_ms=int(config.gap_threshold_s * 1000)), "samples")
     lon0, lat0 = config.origin or (None, None)
     samples, origin = coordinates.project(samples, use_enu=config.use_enu, origin=(lat0, lon0, None if lat0 is None else 0.0))
-    fused = fusion.fuse_records(samples, messages, tolerance_ms=config.sync_tolerance_ms)
+    fused = land(fusion.fuse_records(samples, messages, tolerance_ms=config.sync_tolerance_ms), "fused")
     if write and config.format == "parquet":
         tables.export_samples(samples, f"{config.output_dir}/trajectories.parquet")
         tables.export_fused(fused, f"{config.output_dir}/fused.parquet")
     elif write:
         tables.export_csv(config.output_dir, samples, fused)
+    if write and config.visualize:
+        for name, df in plot_tables(samples, fused).items():
+            tables.write(df, f"{config.output_dir}/plots/{name}.parquet")
     if write and config.metadata_out:
         facts = tables.metadata(spark, crs="ENU" if config.use_enu else "UTM", origin_lat_deg=origin[0], origin_lon_deg=origin[1], origin_alt_m=origin[2], hz=config.hz, gap_threshold_s=config.gap_threshold_s, sync_tolerance_ms=config.sync_tolerance_ms, input_dir=config.input_dir, output_dir=config.output_dir)
         facts.coalesce(1).write.mode("overwrite").json(config.metadata_out)
     return RecordRun(samples, fused, origin, gnss, messages)
 
 
+def plot_tables(samples: DataFrame, fused: DataFrame) -> dict[str, DataFrame]:
+    """What plots of a run are drawn from: tracks, latency and throughput by place and throughput over time. Drawing is left to other tools."""
+    return {
+        "tracks": samples.select("vehicle_id", "timestamp_ms", "x_m", "y_m", trajectory.map_class().alias("class")),
+        "latency_heatmap": analytics.heatmap(fused, F.col("avg_latency_ms"), "mean", lat="y_m", lon="x_m", over=samples),
+        "throughput_heatmap": analytics.heatmap(fused, F.col("tx_bytes") + F.col("rx_bytes"), "sum", lat="y_m", lon="x_m", over=samples),
+        "throughput": analytics.throughput_series(fused),
+    }
+
+
 def report(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:
     """The standard report over the three written tables, as named DataFrames."""
     points, messages, fused = (tables.read_results(spark, data_dir, n) for n in tables.NAMES)

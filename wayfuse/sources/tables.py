@@ -56,9 +56,9 @@ def export_samples(samples: DataFrame, path: str) -> bool:
     return _export(flat_samples(samples), path)
 
 
-def export_fused(fused: DataFrame, path: str) -> bool:
+def export_fused(fused: DataFrame, path: str, types: Sequence[str] | None = None) -> bool:
     """Fused records with one count column per message type."""
-    return _export(type_counts_wide(fused), path)
+    return _export(type_counts_wide(fused, types), path)
 
 
 def _export(df: DataFrame, path: str) -> bool:
