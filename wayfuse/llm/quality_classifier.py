@@ -173,3 +173,16 @@ def with_score(docs: DataFrame, model: RuleEnsemble, *, text: str = "text", to:
     held = docs.select("*", F.struct(*[c.cast("double").alias(n) for n, c in stats.items()]).alias(own))
     score = model.score({n: F.col(f"{own}.{n}") for n in stats})
     return held.select(*[F.col(f"`{c}`") for c in docs.columns if c != to], score.alias(to))
+
+
+def keep_good(docs: DataFrame, model: RuleEnsemble, *, text: str = "text", least: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that score least or more, with their columns.
+
+    The planner would push the condition below the projection and so work out the
+    statistics once more for each rule; it does not where the score could differ
+    from one evaluation to the next, as it then has to assume.
+    """
+    score = f"score_{uuid.uuid4().hex}"
+    scored = with_score(docs, model, text=text, to=score)
+    once = scored.withColumn(score, F.when(F.monotonically_increasing_id() >= 0, F.col(score)))
+    return once.where(F.col(score) >= least).select(*[F.col(f"`{c}`") for c in docs.columns])
