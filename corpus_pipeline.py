@@ -7,8 +7,6 @@ columns of documents.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +19,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold go. Labels of the held-out fold are not learnt from."""
     labels = table(spark, sf_dir, "labels").where(~in_fold(5))
     model = quality_classifier.train(docs, labels)
-    score = f"score_{uuid.uuid4().hex}"
-    kept = quality_classifier.with_score(docs, model, to=score).where(F.col(score) >= quality_classifier.THRESHOLD)
-    return kept.select(*docs.columns)
+    return quality_classifier.keep_good(docs, model)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,6 +27,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that share 0.8 or more of their shingles of five words, by fingerprints, the first stays."""
     return simhash_dedup.drop_near_duplicates(docs)
 
 
