@@ -104,9 +104,10 @@ def test_near_groups(docs, empty):
 def test_similar_groups(docs, empty):
     """Groups by fingerprints as brute force finds them."""
     rows = corpus()
-    prints = [(simhash_dedup.fingerprint((t or "").encode(), 5), simhash_dedup.word_prints((t or "").encode())) for _, t, *_ in rows]
+    prints = [simhash_dedup.set_prints((t or "").encode()) for _, t, *_ in rows]
     half = lambda x, y: min(((x ^ y) & 0xFFFFFFFF).bit_count(), ((x ^ y) >> 32).bit_count())
-    linked = lambda p, q: (p[0] ^ q[0]).bit_count() <= 12 and any(half(x, y) <= 1 and (x ^ y).bit_count() <= 12 for x, y in zip(p[1], q[1], strict=True))
+    apart = lambda p, q: sum((x ^ y).bit_count() for x, y in zip(p, q, strict=True))
+    linked = lambda p, q: apart(p[1], q[1]) <= 48 and any(half(x, y) <= 1 and (x ^ y).bit_count() <= 12 for x, y in zip(p[0], q[0], strict=True))
     roots = brute_components(prints, linked)
     kept = simhash_dedup.drop_near_duplicates(docs)
     assert kept.columns == docs.columns

@@ -64,8 +64,10 @@ def row_keyed(docs: DataFrame, doc_id: str, label: str) -> tuple[DataFrame, str]
 
 
 @atexit.register
-def _clean() -> None:
-    for spark, path in _made:
+def clean_scratch() -> None:
+    """Deletes the tables that were written on the way, which results that are not read yet may need; done at the end of the process, or by a long session between queries."""
+    while _made:
+        spark, path = _made.pop()
         try:
             jvm = spark.sparkContext._jvm
             at = jvm.org.apache.hadoop.fs.Path(path)

@@ -10,11 +10,11 @@ half, 2 to 17 of each, and compared at the anchors with fingerprints at home
 there. Equal fingerprints are one node, so copies are never paired.
 
 The same anchors serve texts that share most of their longer shingles
-(similar_groups). Their shingles' fingerprint alone differs in too many bits for
-any covering that stays selective, so several fingerprints of the set of words,
-of which an edit changes fewer, bring them to an anchor: one half of one of them
-has to be within one bit. There they are compared by that fingerprint and by that
-of the shingles, both by a wider threshold.
+(similar_groups). Fingerprints of their shingles differ in too many bits for any
+covering that stays selective, so several fingerprints of the set of words, of
+which an edit changes fewer, bring them to an anchor: one half of one of them has
+to be within one bit. There they are compared by that fingerprint and by 256 bits
+of the set of shingles, whose differing bits estimate the similarity.
 
 An anchor with many fingerprints is cut into blocks that are compared block by
 block, so no task holds more than two blocks; from a block pair come only the
@@ -42,15 +42,19 @@ SHINGLE = 3
 THRESHOLD = 3
 #: Fingerprints of an anchor that are compared at once.
 BLOCK = 2048
-#: For texts of a similarity of 0.8 or more on shingles of five words: fingerprints of the words, and bits that these and that of the shingles may differ in.
-SIMILAR_SHINGLE, PRINTS, WIDE = 5, 4, 12
+#: For texts of a similarity of 0.8 or more on shingles of five words: fingerprints of the words and as many of the shingles, bits that one
+#: of the words may differ in, and bits that those of the shingles may differ in together, of which 39 are expected at 0.8 and 33 at 0.85.
+SIMILAR_SHINGLE, PRINTS, WIDE, APART = 5, 4, 12, 48
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     """Majority of the bits of the XXH64 of each shingle; 0 without words."""
     words = words_of(text.lower()) if text else []
-    if not words:
-        return 0
+    return majority(shingle_hashes(words, shingle)) if words else 0
+
+
+def shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
+    """XXH64 of each shingle, repeats included; of all words where there are fewer."""
     if len(words) < shingle:
         hashes = [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
     else:
@@ -59,7 +63,7 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
         starts = np.concatenate(([0], ends[: len(words) - shingle] + 1)).tolist()
         hash64 = xxhash.xxh64_intdigest
         hashes = [hash64(line[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist(), strict=True)]
-    return majority(np.array(hashes, dtype=np.uint64))
+    return np.array(hashes, dtype=np.uint64)
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -71,11 +75,17 @@ def majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
-def word_prints(text: bytes | None, prints: int = PRINTS) -> list[int]:
-    """Fingerprints of the set of words, each from hashes mixed with another number."""
-    own = np.array([xxhash.xxh64_intdigest(w, SEED) for w in set(words_of(text.lower()))] if text else [], np.uint64)
-    if not len(own):
-        return [0] * prints
+def set_prints(text: bytes | None, shingle: int = SIMILAR_SHINGLE, prints: int = PRINTS) -> tuple[list[int], list[int]]:
+    """Fingerprints of the set of words and of that of shingles; all zero without words."""
+    words = words_of(text.lower()) if text else []
+    if not words:
+        return [0] * prints, [0] * prints
+    single = np.array([xxhash.xxh64_intdigest(w, SEED) for w in set(words)], np.uint64)
+    return mixed_prints(single, prints), mixed_prints(np.unique(shingle_hashes(words, shingle)), prints)
+
+
+def mixed_prints(own: np.ndarray, prints: int) -> list[int]:
+    """Fingerprints of the hashes, mixed with another number for each."""
     out = []
     with np.errstate(over="ignore"):
         for i in range(prints):
@@ -149,8 +159,16 @@ def _covered(columns: list[str]):
     return run
 
 
+def near_rows(a: list[np.ndarray], b: list[np.ndarray], limits: list[int]) -> np.ndarray:
+    """For every row of a and b whether the first column differs in at most as many bits as the first limit says, and the others together as the second."""
+    near = np.bitwise_count(a[0][:, None] ^ b[0][None]) <= limits[0]
+    if len(a) > 1:
+        near &= sum(np.bitwise_count(x[:, None] ^ y[None]).astype(np.uint16) for x, y in zip(a[1:], b[1:], strict=True)) <= limits[1]
+    return near
+
+
 def forest(a: list[np.ndarray], b: list[np.ndarray], limits: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Places (in a, in b) of links of a spanning forest of the graph in which x of a and y of b are joined when no column differs in more bits than its limit.
+    """Places (in a, in b) of links of a spanning forest of the graph in which near rows of a and b are joined.
 
     A breadth-first search over both sides; each row and each column of the
     distances is worked out once, and a node enters by one link.
@@ -171,7 +189,7 @@ def forest(a: list[np.ndarray], b: list[np.ndarray], limits: list[int]) -> tuple
                 if not len(rest):
                     break
                 part = front[at : at + step]
-                near = np.logical_and.reduce([np.bitwise_count(x[part, None] ^ y[None, rest]) <= limit for x, y, limit in zip(mine, theirs, limits, strict=True)])
+                near = near_rows([x[part] for x in mine], [y[rest] for y in theirs], limits)
                 hit = np.flatnonzero(near.any(axis=0))
                 via = part[near[:, hit].argmax(axis=0)]
                 still[rest[hit]] = False
@@ -183,14 +201,14 @@ def forest(a: list[np.ndarray], b: list[np.ndarray], limits: list[int]) -> tuple
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
-def links_at_anchors(nodes: DataFrame, *, prints: list[str], limit: int = THRESHOLD, checks: dict[str, int] | None = None, block: int = BLOCK) -> DataFrame:
+def links_at_anchors(nodes: DataFrame, *, prints: list[str], limit: int = THRESHOLD, checks: list[str] | None = None, apart: int = 0, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between rows of nodes (node, *prints, *checks) that leave the components of all such links as they are.
 
     Two nodes meet if a half of one of their prints differs in one bit at most,
     which is so for all that differ in up to 3 bits. They link if this print
-    differs in at most limit bits and each column of checks in at most its own.
+    differs in at most limit bits and the columns of checks in at most apart together.
     """
-    checks = checks or {}
+    checks = checks or []
     covered = nodes.select("node", *prints).mapInArrow(_covered(prints), MET)
     covered = covered.repartition("key").sortWithinPartitions("key", F.col("entered").desc(), "node")
     met = materialize(covered.mapInArrow(meeting, MET), "simhash-met")
@@ -213,7 +231,7 @@ def links_at_anchors(nodes: DataFrame, *, prints: list[str], limit: int = THRESH
             here = start + np.flatnonzero(home[start:stop])
             there = start + np.flatnonzero(~home[start:stop])
             if len(here) and len(there):
-                x, y = forest([c[here] for c in columns], [c[there] for c in columns], [limit, *checks.values()])
+                x, y = forest([c[here] for c in columns], [c[there] for c in columns], [limit, apart])
                 found.append((node[here[x]], node[there[y]]))
         a, b = map(np.concatenate, zip(*found, strict=True))
         return pa.record_batch({"a": pa.array(np.minimum(a, b)[a != b]), "b": pa.array(np.maximum(a, b)[a != b])})
@@ -281,18 +299,18 @@ def near_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 def similar_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", row_id: str, shingle: int = SIMILAR_SHINGLE) -> DataFrame:
     """doc_id, node, component_id, row_id and kept of every row of docs; texts link if they share, as far as fingerprints tell, 0.8 of their shingles."""
     kinds = {c: docs.schema[c].dataType.simpleString() for c in (doc_id, row_id)}
-    prints = [f"f{i}" for i in range(PRINTS)]
+    prints, shown = [f"f{i}" for i in range(PRINTS)], [f"s{i}" for i in range(PRINTS)]
 
     def run(table: pa.Table) -> pa.Table:
         texts = table.column("text").cast(pa.large_binary()).to_pylist()
-        found = np.array([[fingerprint(t, shingle), *word_prints(t)] for t in texts], dtype=np.uint64).reshape(-1, 1 + PRINTS)
+        found = np.array([sum(set_prints(t, shingle), []) for t in texts], dtype=np.uint64).reshape(-1, 2 * PRINTS)
         node = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in found], dtype=np.uint64)
-        columns = {name: pa.array(x.view(np.int64)) for name, x in zip(["node", "shingles", *prints], [node, *np.ascontiguousarray(found.T)], strict=True)}
+        columns = {name: pa.array(x.view(np.int64)) for name, x in zip(["node", *prints, *shown], [node, *np.ascontiguousarray(found.T)], strict=True)}
         return pa.table({"doc_id": table.column("doc_id"), "row_id": table.column("row_id")} | columns)
 
     frame = docs.select(F.col(doc_id).alias("doc_id"), F.col(row_id).alias("row_id"), F.col(text).cast("string").alias("text"))
-    rows = map_batches(frame, run, f"doc_id {kinds[doc_id]}, row_id {kinds[row_id]}, node long, shingles long, " + ", ".join(f"{p} long" for p in prints))
-    return _grouped(rows, ["shingles", *prints], lambda nodes: links_at_anchors(nodes, prints=prints, limit=WIDE, checks={"shingles": WIDE}))
+    rows = map_batches(frame, run, f"doc_id {kinds[doc_id]}, row_id {kinds[row_id]}, node long, " + ", ".join(f"{p} long" for p in [*prints, *shown]))
+    return _grouped(rows, [*prints, *shown], lambda nodes: links_at_anchors(nodes, prints=prints, limit=WIDE, checks=shown, apart=APART))
 
 
 def _grouped(rows: DataFrame, shown: list[str], links) -> DataFrame:
