@@ -126,6 +126,8 @@ ROWS = "g long, c long, doc long, a int, b int, t int, r int, l int"
 SPANS = "doc long, a int, b int, g long, t int, r int, l int, covered boolean"
 #: Phrases that are collapsed and sent at once, phrases that share trigger and side from which on windows are dealt out by content, and bytes of phrases that are ordered at once.
 SENT, CROWD, ORDERED = 500_000, 500, 1 << 20
+#: Parts that the phrases of a crowded key are dealt to where they meet the list of such keys.
+SALTS = 64
 
 
 def _parse(size: int):
@@ -374,8 +376,12 @@ def repeated_spans(docs: DataFrame, *, crowd: int = CROWD, piece: int = PIECE) -
     turn = F.col("t") - NEAR  # from here on windows have NEAR bytes to the right of the trigger
     sides = F.array(F.when(F.col("r").isNotNull(), side("r", F.greatest("a", turn), F.col("b"))), F.when(F.col("l").isNotNull(), side("l", F.col("a"), F.least("b", turn - 1))))
     unsure = materialize(found.where("not covered").select("doc", F.explode(F.array_compact(sides)).alias("x")).select("doc", "x.*"), "passage-unsure")
-    many = unsure.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key", (F.col("n") > crowd).alias("crowded"))
-    unsure = unsure.join(many, "key").groupBy("doc").agg(F.collect_list(F.struct("a", "b", "key", "crowded")).alias("spans"))
+    many = materialize(unsure.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "passage-keys")
+    crowds = many.where(F.col("n") > crowd).select("key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(True).alias("crowded"))
+    salted = unsure.withColumn("salt", F.pmod(F.xxhash64("doc", "a"), F.lit(SALTS)).cast("int")).join(crowds, ["key", "salt"], "left").drop("salt")
+    salted = materialize(salted.withColumn("crowded", F.coalesce("crowded", F.lit(False))), "passage-salted")
+    some = salted.where("not crowded").join(many.where(F.col("n") <= crowd).select("key"), "key", "left_semi")
+    unsure = some.unionByName(salted.where("crowded")).groupBy("doc").agg(F.collect_list(F.struct("a", "b", "key", "crowded")).alias("spans"))
     contexts = materialize(texts.mapInArrow(_pack, "doc long, packed binary").join(unsure, "doc").mapInArrow(_contexts, CONTEXTS), "passage-contexts")
     ordered = contexts.where("bytes is not null").select("g", "doc", "a", "bytes").repartition("g").sortWithinPartitions("g", "doc", "a")
     crowded = _ordered(contexts.where("bytes is null").drop("bytes")).mapInArrow(_fates(False), SPANS)
