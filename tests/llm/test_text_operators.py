@@ -558,6 +558,14 @@ def test_html_against_brute_force(spark, marked):
     assert sum(r["n_template_blocks"] for r in found.values()) > 50
 
 
+def test_html_hints():
+    for name in ("ad", "ad-slot", "main-nav", "related-posts", "comments_area", "x cookie-consent", "Sidebar2", "site-header"):
+        assert html_text.hint(name)
+    for name in ("share-price", "search-results", "menu-planning", "article-header", "gradient", "header-image", "notice-of-death"):
+        assert not html_text.hint(name)
+    assert not html_text.hint("header", in_article=True)
+
+
 def test_html_hints_do_not_decide(spark):
     """Telling names count where the site repeats them; forms around a page, teasers and broken markup don't hide it."""
     article = '<article><p>Intro</p><div class="share-price"><p>The price rose.</p></div><section id="search-results"><p>Found.</p></section></article>'

@@ -63,6 +63,8 @@ BESIDE = frozenset(
     "box block list wrapper wrap container section area bar inner outer left right top bottom main site page primary secondary global form links link item items title header head slot unit "
     "space post posts article articles story stories thread reader user us on buttons button icons icon menu panel group policy col column row".split()
 )
+#: Words of names of a site's header, which hint outside articles.
+HEADER = frozenset("header site top global main wrapper wrap container bar outer inner".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar".split())
 NAME = re.compile(r"</?([a-zA-Z][^\s/><]*)")
 MARK = re.compile("[\"'<>]")
@@ -91,12 +93,14 @@ def signed(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
-def hint(value: str) -> str | None:
+def hint(value: str, in_article: bool = False) -> str | None:
     """The first of the names of a class or id that hints at template."""
     for name in value.lower().split():
         words = [w for w in re.split(r"[-_0-9]+", name) if w]
         if any(w in HINTS for w in words) and all(w in HINTS or w in BESIDE for w in words):
             return name
+        if not in_article and "header" in words and HEADER.issuperset(words):
+            return name
     return None
 
 
@@ -108,7 +112,7 @@ def told(name: str, attributes: str, in_article: bool) -> tuple[bool, str | None
     for key, a, b, c in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), a or b or c
         if key in ("class", "id"):
-            found = found or (hint(value) if name not in ("html", "body", "article", "main") else None)
+            found = found or (hint(value, in_article) if name not in ("html", "body", "article", "main") else None)
         elif (key == "role" and value.lower() in ROLES) or key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value)):
             return True, None
     return False, found
