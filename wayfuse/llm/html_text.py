@@ -8,8 +8,8 @@ article. Pages of equal content count once, and a container in a marked article
 counts once for each article that it is in, so copies of a text don't make it a
 template.
 Class names are hints: text that differs from page to page in an element named
-like an advert or a comment list goes only if the host has such an element on
-different pages, or too few pages to tell.
+like an advert or a comment list goes only if such an element is on different
+pages of the host or on other hosts too, or if the host has too few pages to tell.
 What the elements themselves tell counts as well: menus, scripts, hidden parts
 and the like never hold the article; a form does if it is around the page's
 prose. Of what is left, marked articles are taken if they are not dwarfed by the
@@ -18,8 +18,8 @@ links, since an article may be published more than once.
 
 Reading takes one pass over the page and time in proportion to its length.
 
-Defined results: null or empty html gives an empty text; a null url is a host of
-its own; unclosed, misnested or cut off markup is read as far as it goes, a tag
+Defined results: null or empty html gives an empty text; a page whose url has no
+host is told by itself; unclosed, misnested or cut off markup is read as far as it goes, a tag
 ending at the next < outside quotes; elements more than 512 deep belong to those
 around them; a host of one or two different pages has no recurring containers; no
 block is dropped for its length; repeated rows are pages of their own. Extra
@@ -42,6 +42,8 @@ from .common import map_batches, materialize, row_keyed
 MIN_PAGES = 5
 #: ... and on this share of them; an element with a telling name needs the share, and two pages at least.
 SHARE = 0.01
+#: Hosts on which such an element counts everywhere.
+HOSTS = 3
 DEEPEST = 512
 # How elements are treated.
 DROPPED = frozenset("script style noscript template iframe object svg canvas head nav footer aside button select option textarea input menu dialog audio video map".split())
@@ -332,9 +334,12 @@ def templates(found: DataFrame, *, min_pages: int = MIN_PAGES, share: float = SH
     seen = found.select("host", "hash", "shell", "content").distinct()
     counts = materialize(seen.groupBy("host", "hash", "shell").agg(F.count(F.lit(1)).alias("n")), "html-counts")
     pages = counts.where("hash is null").select("host", F.col("n").alias("pages"))
-    enough = F.greatest(F.least(F.lit(min_pages), F.greatest("pages", F.lit(3))), F.lit(share) * F.col("pages"))
-    named = F.when(F.col("pages") < 3, F.lit(1.0)).otherwise(F.greatest(F.lit(2.0), F.lit(share) * F.col("pages")))
-    return counts.where("hash is not null").join(pages, "host").where(F.col("n") >= F.when(F.col("shell"), named).otherwise(enough)).select("host", "hash")
+    known = F.col("host") != ""
+    enough = known & (F.col("n") >= F.greatest(F.least(F.lit(min_pages), F.greatest("pages", F.lit(3))), F.lit(share) * F.col("pages")))
+    named = ~known | (F.col("pages") < 3) | (F.col("n") >= F.greatest(F.lit(2.0), F.lit(share) * F.col("pages"))) | F.col("wide").isNotNull()
+    wide = counts.where("shell and host <> ''").groupBy("hash").agg(F.count(F.lit(1)).alias("wide")).where(F.col("wide") >= HOSTS)
+    found = counts.where("hash is not null").join(pages, "host").join(wide, "hash", "left")
+    return found.where(F.when(F.col("shell"), named).otherwise(enough)).select("host", "hash")
 
 
 def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
