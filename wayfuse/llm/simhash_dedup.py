@@ -321,7 +321,7 @@ def _grouped(rows: DataFrame, shown: list[str], links) -> DataFrame:
     nodes = materialize(rows.groupBy("node").agg(first, *[F.min(c).alias(c) for c in shown]), "simhash-nodes")
     roots = materialize(components(links(nodes.select("node", *shown))), "simhash-roots")
     told = materialize(nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root")), "simhash-told")
-    lowest = told.groupBy("root").agg(F.min("first").alias("first"))
+    lowest = materialize(told.groupBy("root").agg(F.min("first").alias("first")), "simhash-lowest")  # so that a join with a large group can be split
     named = materialize(told.select("node", "root").join(lowest, "root").select("node", "first"), "simhash-named")
     out = ["doc_id", "node", F.col("first.doc_id").alias("component_id")]
     if numbered:
