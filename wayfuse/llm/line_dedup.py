@@ -279,7 +279,7 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     many = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links"))
     fates = starts.join(many, "node", "left").join(components(found.where("b is not null").select("a", "b")), "node", "left")
     fates = materialize(fates.select("node", F.coalesce("root", "node").alias("class_id"), "first", F.coalesce("n_links", F.lit(0)).alias("n_links")), "line-fates")
-    linked = fates.where("n_links > 0").groupBy("class_id").agg(F.min("first").alias("opening"))
+    linked = materialize(fates.where("n_links > 0").groupBy("class_id").agg(F.min("first").alias("opening")), "line-openings")
     fates = fates.join(linked, "class_id", "left").select("node", "class_id", "n_links", F.coalesce("opening", "first").alias("opening"))
     joined = lines.join(fates, "node", "left")
     stays = (F.col("row_id") == F.col("opening.row_id")) & (F.col("line_no") == F.col("opening.line_no"))
