@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialize
+from .common import map_batches, materialize, texts_of
 
 #: A word that no text holds, as it is white space: the end of each text, and what stands before its first word.
 END = b" "
@@ -72,7 +72,7 @@ def word_counts(docs: DataFrame, *, text: str = "text") -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         seen: Counter = Counter()
-        for t in table.column("text").cast(pa.large_binary()).to_pylist():
+        for t in texts_of(table):
             seen.update(tokens(t))
         return pa.table({"word": pa.array(list(map(key_of, seen)), pa.binary()), "c": pa.array(list(seen.values()), pa.int64())})
 
@@ -347,7 +347,7 @@ def encode(docs: DataFrame, model: Model, trained: Column, *, doc_id: str = "doc
     def run(table: pa.Table) -> pa.Table:
         get, hash64 = lookup.value.get, xxhash.xxh64_intdigest
         ids, rare = [], []
-        for t in table.column("text").cast(pa.large_binary()).to_pylist():
+        for t in texts_of(table):
             own = tokens(t)
             at = np.fromiter(map(get, own, repeat(-1)), np.int32, len(own))
             missed = []

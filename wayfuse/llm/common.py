@@ -90,6 +90,12 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.split() if text else []
 
 
+def texts_of(table: pa.Table, name: str = "text", rows: int = 1000) -> Iterator[bytes | None]:
+    """The texts of a batch in UTF-8, some rows at a time, so that they are not all held twice."""
+    for at in range(0, table.num_rows, rows):
+        yield from table.column(name).slice(at, rows).cast(pa.large_binary()).to_pylist()
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.Table], Iterator[pa.RecordBatch] | pa.Table], schema: str) -> DataFrame:
     """mapInArrow where fn takes one batch as a table and returns a table.
 
