@@ -108,7 +108,7 @@ def topic_positions(entries: DataFrame, ids: DataFrame, *, compat: bool = False,
 
 
 def topic_messages(entries: DataFrame, *, compat: bool = False, demo: bool = False) -> DataFrame:
-    """Messages of message topics. entries needs sizes, the sizes of each topic's messages."""
+    """Messages of message topics. entries needs size, that of each message."""
     sender = F.coalesce(S.truthy("message", "header.station_id.value"), F.lit("unknown"))
     kind = F.when(S.has_key("message", "cam"), "CAM").when(S.has_key("message", "denm"), "DENM").otherwise("UNKNOWN")
     frame = S.truthy("message", "header.frame_id")
@@ -119,14 +119,13 @@ def topic_messages(entries: DataFrame, *, compat: bool = False, demo: bool = Fal
     )
     is_message = F.schema_of_variant("message").startswith("OBJECT")
     rows = entries.where((route(F.col("topic"), demo=demo) == "message") & F.col("recording_timestamp_nsec").isNotNull() & is_message)
-    size = F.try_element_at(F.try_element_at("sizes", F.col("topic")), F.col("pos") + 1)
     none = F.lit(None).cast("double")
     return rows.select(
         "file",
         S.nanos_to_millis(F.col("recording_timestamp_nsec"), compat=compat).alias("timestamp_ms"),
         sender.alias("vehicle_id"),
         kind.alias("message_type"),
-        size.cast("bigint").alias("message_size_bytes"),
+        F.col("size").cast("bigint").alias("message_size_bytes"),
         sender.alias("sender_id"),
         F.coalesce(address, F.when(frame != sender, frame)).alias("receiver_id"),
         none.alias("latency_ms"),

@@ -936,9 +936,9 @@ msg AS (SELECT timestamp_ms, CASE WHEN t = 'error' OR sid = 0 THEN 'unknown' ELS
 
 
 def _topic_rows(spark, d, **how):
-    from .runs import topic_rows
+    from .runs import topic_entries, topic_rows
 
-    return topic_rows(_topic_files(spark, d), **how)
+    return topic_rows(topic_entries(_topic_files(spark, d)), **how)
 
 
 @query(_TOPICS + " SELECT vehicle_id, timestamp_ms, latitude, longitude, altitude, topic FROM pos")
@@ -964,10 +964,11 @@ FROM pos p LEFT JOIN msg m ON m.vehicle_id = p.vehicle_id AND m.timestamp_ms BET
 )
 def topic_ingest(spark, d):
     """Topic documents taken through the topic plan, by way of landed rows, to fused rows."""
-    from .runs import _landed, topic_tables
+    from .runs import _landed, topic_entries, topic_rows, topic_tables
 
     base = adapters.scratch(spark, "topics")
-    landed = [_landed(df, f"{base}/{n}") for n, df in zip(("gnss", "v2x"), _topic_rows(spark, d), strict=True)]
+    entries = _landed(topic_entries(_topic_files(spark, d)), f"{base}/entries")
+    landed = [_landed(df, f"{base}/{n}") for n, df in zip(("gnss", "v2x"), topic_rows(entries), strict=True)]
     found = topic_tables(*landed, window_ms=WINDOW_MS)["fused_data"]
     return found.select("timestamp_ms", "vehicle_id", "latitude", "longitude", "altitude", "messages_sent", "total_bytes_sent", "message_types")
 

@@ -19,10 +19,16 @@ def discover(spark: SparkSession, input_dir: str, sample: int | None = None) ->
     return records.discovery_summary(json_records.read_objects(files, sample=sample), total, sample=sample)
 
 
-def topic_rows(files: DataFrame, *, compat: bool = False, demo: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Positions and messages of topic documents (file, value), with file and ordinal; a document that doesn't parse yields nothing."""
+def topic_entries(files: DataFrame) -> DataFrame:
+    """(file, topic, pos, recording_timestamp_nsec, message, size) of the entries of topic documents (file, value); a document that doesn't parse yields nothing."""
     docs = files.select("file", json_records.message_sizes("value").alias("sizes"), F.try_parse_json("value").alias("v"))
     entries = json_records.topic_records(docs.where(F.col("v").isNotNull()), ["file", "sizes"])
+    size = F.try_element_at(F.try_element_at("sizes", F.col("topic")), F.col("pos") + 1)
+    return entries.select("file", "topic", "pos", "recording_timestamp_nsec", "message", size.alias("size"))
+
+
+def topic_rows(entries: DataFrame, *, compat: bool = False, demo: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Positions and messages of the entries of topic documents, with file and ordinal."""
     ids = analytics.majority_ids(records.entry_ids(entries))
     points = records.topic_positions(entries, ids, compat=compat, demo=demo)
     return points, records.topic_messages(entries, compat=compat, demo=demo)
@@ -38,14 +44,15 @@ def topic_tables(points: DataFrame, messages: DataFrame, *, window_ms: int = 100
 def run_topics(spark: SparkSession, input_dir: str, output_dir: str, *, fmt: str = "parquet", scenario_dirs: Sequence[str] | None = None, mode: str = "scenarios", window_ms: int = 1000) -> DataFrame:
     """Writes the three tables and returns the run's statistics.
 
-    Positions and messages are landed first, so documents are parsed once for
-    each of the two, and fusion, results and statistics read the landed rows.
+    Entries are landed first, so documents are parsed once; positions and messages
+    are landed of them, which fusion, results and statistics read.
     """
     if scenario_dirs is None:
         files = json_records.read_files(spark, input_dir, mode=mode)
     else:
         files = json_records.read_files(spark, json_records.scenario_paths(input_dir, scenario_dirs))
-    landed = (_landed(df, f"{output_dir}/_landed/{name}") for name, df in zip(("gnss", "v2x"), topic_rows(files), strict=True))
+    entries = _landed(topic_entries(files), f"{output_dir}/_landed/entries")
+    landed = (_landed(df, f"{output_dir}/_landed/{name}") for name, df in zip(("gnss", "v2x"), topic_rows(entries), strict=True))
     found = topic_tables(*landed, window_ms=window_ms)
     for name in ("trajectories", "v2x_messages", "fused_data"):
         tables.write(found[name], f"{output_dir}/{name}.{fmt}", fmt)
